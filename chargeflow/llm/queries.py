@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, ngram_jaccard
 
 
 def queries() -> dict:
     return {
         "op3_exact_dedup": exact_dedup.query,
+        "op4_ngram_jaccard": ngram_jaccard.query,
         "op10_mixing": mixing.query,
     }
 

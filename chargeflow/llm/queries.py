@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, ngram_jaccard
+from . import exact_dedup, language_id, mixing, ngram_jaccard
 
 
 def queries() -> dict:
     return {
         "op3_exact_dedup": exact_dedup.query,
         "op4_ngram_jaccard": ngram_jaccard.query,
+        "op7_language_id": language_id.query,
         "op10_mixing": mixing.query,
     }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, mixing, ngram_jaccard
+from . import chat, exact_dedup, fingerprints, language_id, mixing, ngram_jaccard
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op3_exact_dedup": exact_dedup.query,
         "op4_ngram_jaccard": ngram_jaccard.query,
         "op7_language_id": language_id.query,
+        "op8_chat": chat.query,
+        "op9_fingerprints": fingerprints.query,
         "op10_mixing": mixing.query,
     }
 

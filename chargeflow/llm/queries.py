@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, language_id, mixing, ngram_jaccard
+from . import chat, exact_dedup, fingerprints, language_id, mixing, ngram_jaccard, quality
 
 
 def queries() -> dict:
     return {
         "op3_exact_dedup": exact_dedup.query,
         "op4_ngram_jaccard": ngram_jaccard.query,
+        "op5_quality": quality.query,
         "op7_language_id": language_id.query,
         "op8_chat": chat.query,
         "op9_fingerprints": fingerprints.query,

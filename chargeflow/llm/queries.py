@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, language_id, mixing, ngram_jaccard, quality
+from . import chat, exact_dedup, fingerprints, language_id, mixing, ngram_jaccard, quality, substring_dedup
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op3_exact_dedup": exact_dedup.query,
         "op4_ngram_jaccard": ngram_jaccard.query,
         "op5_quality": quality.query,
+        "op6_substring_dedup": substring_dedup.query,
         "op7_language_id": language_id.query,
         "op8_chat": chat.query,
         "op9_fingerprints": fingerprints.query,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, language_id, mixing, ngram_jaccard, quality, sentence_pieces, substring_dedup
+from . import chat, exact_dedup, fingerprints, language_id, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, substring_dedup
 
 
 def queries() -> dict:
     return {
+        "op1_lm_scoring": lm_scoring.query,
         "op2_sentence_pieces": sentence_pieces.query,
         "op3_exact_dedup": exact_dedup.query,
         "op4_ngram_jaccard": ngram_jaccard.query,

@@ -49,12 +49,12 @@ def exact_duplicates(
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns; of rows that repeat
     both the id and the text, one stays."""
-    # Each text's smallest id is found on digests; only ids meet the rows again.
-    stay = exact_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_keep"), "text_sha256").distinct()
-    sha = F.sha2(folded(F.col(text_col)), 256)
-    rows = docs.withColumn("_sha", sha)
-    out = rows.join(stay, rows[id_col].cast("long").eqNullSafe(stay["_keep"]) & (rows["_sha"] == stay["text_sha256"]), "left_semi")
-    return out.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    # Each text's smallest id is found on digests; only ids and digests meet the rows again.
+    id_ = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
+    stay = exact_duplicates(docs, id_col, text_col).filter("kept").select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), F.col("text_sha256").alias("_sha"))
+    rows = docs.withColumn("_id", id_).withColumn("_sha", F.sha2(folded(F.col(text_col)), 256))
+    # The same keys part the rows of the join and of the second step: one shuffle of texts.
+    return rows.join(stay, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,53 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
 from .signature_tree import linked_pairs
 from .tables import materialize, read
-from .words import shingle_sets
+from .words import mixed, shingle_sets
 
-#: The most frequent shingles, which prefixes avoid. Their number changes the cost, never the result.
-FREQUENT = 1 << 16
 #: Shingles of the sets that one traversal holds: 32 MB.
 BLOCK = 4_000_000
+#: Sizes of a class grow by this factor.
+RATIO = 1.5
+
+_A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
 def _digests(k: int):
-    """Of each row its set's size and digest; of each slice the shingles that several rows have."""
+    """Of each row its set's size and a digest of 128 bits: equal sets, equal digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, d1, d2, sets, total = [], [], [], [], 0
-            tokens, counts = [], []
-
-            def several():
-                if sets:
-                    t, c = np.unique(np.concatenate(sets), return_counts=True)
-                    tokens.append(t[c > 3])
-                    counts.append(c[c > 3])
-
+            n, d1, d2 = [], [], []
             for s in shingle_sets(b.column(1), k):
                 n.append(len(s))
-                # Two sums of independent functions of the members: equal sets, equal digests.
-                d1.append(int((s * np.uint64(0x9FB21C651E98DF25)).sum() ^ np.uint64(len(s))))
+                d1.append(int((s * _A).sum()))
                 d2.append(int(((s ^ (s >> np.uint64(29))) * (s | np.uint64(1))).sum()))
-                sets.append(s)
-                total += len(s)
-                if total > 500_000:
-                    several()
-                    sets, total = [], 0
-            several()
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], names=["doc_id", "n", "d1", "d2", "token", "cnt"])
-            if tokens:
-                t, c = np.concatenate(tokens), np.concatenate(counts)
-                null = pa.nulls(len(t), pa.int64())
-                yield pa.record_batch([null, null, null, null, pa.array(t.view(np.int64)), pa.array(c.astype(np.int64))], names=["doc_id", "n", "d1", "d2", "token", "cnt"])
+            digests = [pa.array(np.array(d, np.uint64).view(np.int64)) for d in (d1, d2)]
+            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), *digests], names=["doc_id", "n", "d1", "d2"])
 
     return run
 
@@ -60,46 +45,92 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - (num * n + den - 1) // den + 1
 
 
-def _prefixes(k: int, num: int, den: int, frequent: np.ndarray, rank: np.ndarray):
+@lru_cache(None)
+def size_class(k: int, num: int, den: int) -> tuple[int, int, int, np.ndarray]:
+    """Of class k: its least size, its largest, the most shingles by which a pair
+    at num/den can differ whose larger set is in it, and where its buckets begin."""
+    low, high = int(np.ceil(RATIO**k)), int(np.ceil(RATIO ** (k + 1))) - 1
+    differ = (den - num) * 2 * max(low, high) // (den + num)
+    buckets = differ + 1
+    while buckets < low and buckets * (1 - np.exp(-low / buckets)) - 2 * np.sqrt(buckets * np.exp(-low / buckets)) < differ + 1:
+        buckets += 1 + buckets // 50
+    starts = np.array([(j << 64) // buckets for j in range(1, buckets)], np.uint64)
+    return low, high, differ, starts
+
+
+def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Keys of which two sets at num/den or above have one in common.
+
+    In the class of the larger set, and in each higher class whose sets may be a
+    partner, the range of hashes is cut into more buckets than a pair can have
+    shingles that only one holds: so one bucket, not empty, holds the same
+    shingles in both, and its content is the key. That needs more buckets with
+    shingles than differences in one of the two; sets with fewer give their
+    prefix too, of which two such sets share a shingle.
+    """
+    n = len(s)
+    k = int(np.log(n) / np.log(RATIO) + 1e-9)
+    while size_class(k, num, den)[0] > n:
+        k -= 1
+    while size_class(k + 1, num, den)[0] <= n:
+        k += 1
+    total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(s * _B))])
+    out = []
+    while k == 0 or (low := size_class(k, num, den)[0]) <= n or den * n >= num * low:
+        _, _, differ, starts = size_class(k, num, den)
+        at = np.concatenate([[0], np.searchsorted(s, starts), [n]])
+        full = np.flatnonzero(at[1:] > at[:-1])
+        content = total[at[full + 1]] - total[at[full]]
+        salt = np.uint64((k + 1) * int(_C) % 2**64)
+        out.append(mixed(content + mixed(full.astype(np.uint64) + salt)))
+        if len(full) <= differ:
+            out.append(mixed(s[: prefix_length(n, num, den)] ^ salt))
+        k += 1
+    return np.concatenate(out)
+
+
+def _signed(k: int, num: int, den: int):
+    """(doc_id, signatures) of the first row of each set in a task; later rows of
+    the set are its copies."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            flat, ends = [], [0]
-            for s in shingle_sets(b.column(1), k):
-                if p := prefix_length(len(s), num, den) if len(s) else 0:
-                    if len(frequent):
-                        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                        known = frequent[at] == s
-                        if known.any():  # the rare first, then the frequent by their number
-                            last = s[known][np.argsort(rank[at[known]], kind="stable")]
-                            s = np.concatenate([s[~known], last])
-                    flat.append(s[:p])
-                ends.append(ends[-1] + p)
+            ids, flat, ends = [], [], [0]
+            if len(seen) > 1_000_000:
+                seen.clear()
+            for doc, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1), k)):
+                if not len(s) or (key := int((s * _A).sum()) ^ len(s) << 64) in seen:
+                    continue
+                seen.add(key)
+                flat.append(signatures(s, num, den))
+                ids.append(doc)
+                ends.append(ends[-1] + len(flat[-1]))
             values = np.concatenate(flat) if flat else np.empty(0, np.uint64)
             lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(values.view(np.int64)))
-            yield pa.record_batch([b.column(0), lists], names=["doc_id", "tokens"])
+            yield pa.record_batch([pa.array(ids, pa.int64()), lists], names=["doc_id", "keys"])
 
     return run
 
 
 def _links(k: int, num: int, den: int):
-    """Rows of one cell follow each other; two sides are two blocks of one cell."""
+    """Rows of one traversal follow each other; two sides are two blocks of one cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, sides, sets = None, [], [], []
 
         def found() -> tuple[list[int], list[int]]:
-            side = np.array(sides)
-            pairs = linked_pairs(sets, num, den, None if len(set(sides)) < 2 else side)
+            pairs = linked_pairs(sets, num, den, None if len(set(sides)) < 2 else np.array(sides))
             return [ids[i] for i, _ in pairs], [ids[j] for _, j in pairs]
 
         for b in batches:
             a, c = [], []
-            for cell, doc, side, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), shingle_sets(b.column(3), k)):
-                if cell != key:
+            for task, doc, side, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), shingle_sets(b.column(3), k)):
+                if task != key:
                     x, y = found()
                     a += x
                     c += y
-                    key, ids, sides, sets = cell, [], [], []
+                    key, ids, sides, sets = task, [], [], []
                 ids.append(doc)
                 sides.append(side)
                 sets.append(s)
@@ -135,9 +166,8 @@ def _tasks(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
 
 
 def jaccard_groups(
-    docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text",
-    frequent: int = FREQUENT, block: int = BLOCK,
-) -> DataFrame:
+    docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK
+) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for each row of ``docs``.
 
     A document's set holds its distinct k-word shingles (A-Z as a-z, words
@@ -145,45 +175,48 @@ def jaccard_groups(
     link). Documents link when den * intersection >= num * union;
     ``component_id`` is the smallest id that links reach.
 
-    1. Equal sets collapse to their smallest id; copies cost nothing further.
-    2. A pair at num/den shares a shingle in both prefixes. Documents that share
-       a prefix shingle, directly or in a chain, are one cell: no link leaves a
-       cell. Prefixes take rare shingles first, so common passages join nobody.
+    1. Equal sets collapse to one: copies cost nothing further.
+    2. Documents that share a signature (see ``signatures``), directly or in a
+       chain, are one cell: no link leaves a cell, and a passage that many
+       documents share puts none of them in one.
     3. In each cell a signature tree (OR-combined bitmaps and size ranges) is
        traversed in pairs, pruned by the largest possible overlap and by what is
        linked already; what is left is compared exactly. Cells over ``block``
        shingles are traversed block by block, in many tasks.
     4. The links found span each group; their components are the result.
 
-    Nothing is capped or sampled: ``frequent`` and ``block`` change the cost only.
-    Sets are compared by 64-bit hashes of shingles. Rows with a null id are
-    returned with a null component and link with nothing; rows that repeat an
-    id are one node, and each is returned. Other columns are ignored.
+    Nothing is capped or sampled: ``block`` changes the cost only. Sets are
+    compared by 64-bit hashes of shingles. Rows with a null id are returned
+    with a null component and link with nothing; rows that repeat an id are
+    one node, and each is returned. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = materialize(docs.mapInArrow(_digests(k), "doc_id long, n long, d1 long, d2 long, token long, cnt long"))
-    top = rows.filter("token is not null").groupBy("token").agg(F.sum("cnt").alias("c")).orderBy(F.desc("c"), "token").limit(frequent).collect()
-    tokens = np.array([r.token for r in top], np.int64).view(np.uint64)
-    by = np.argsort(tokens)
-    rank = np.array([r.c for r in top], np.int64)[by]
-
-    sets = rows.filter("token is null")
-    nodes = sets.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    reps = materialize(nodes)
-    prefixes = docs.filter("doc_id is not null").mapInArrow(_prefixes(k, num, den, tokens[by], rank), "doc_id long, tokens array<long>")
-    prefixes = materialize(prefixes.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-    entries = prefixes.select("doc_id", F.explode("tokens").alias("token"))
-    shared = entries.groupBy("token").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    edges = entries.join(shared.select("token", "first"), "token").filter("doc_id > first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    sets = materialize(docs.mapInArrow(_digests(k), "doc_id long, n long, d1 long, d2 long"))
+    named = sets.filter("n > 0 and doc_id is not null")
+
+    keys = docs.filter("doc_id is not null").mapInArrow(_signed(k, num, den), "doc_id long, keys array<long>")
+    keys = keys.select("doc_id", F.explode("keys").alias("key"))
+    first = F.first("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))
+    edges = keys.select(F.col("doc_id").alias("a"), first.alias("b")).filter("a > b")
     cells = connected_components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("cell"))
 
-    sizes = reps.groupBy(F.col("rep").alias("doc_id")).agg(F.max("n").alias("n"))
-    tasks = _tasks(materialize(cells.join(sizes, "doc_id")), num, den, block)
+    # One document of each set meets the others of its cell, if there are others.
+    members = cells.join(named, "doc_id").groupBy("cell", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    members = materialize(members)
+    shared = members.groupBy("cell").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("cell")
+    tasks = _tasks(members.join(shared, "cell").select("doc_id", "cell", "n"), num, den, block)
     held = docs.join(tasks, "doc_id").select("task", "doc_id", "side", "text")
     held = held.repartition("task").sortWithinPartitions("task", "doc_id")
-    found = connected_components(held.mapInArrow(_links(k, num, den), "a long, b long"))
-
-    found = found.select(F.col("node").alias("rep"), "component")
+    links = held.mapInArrow(_links(k, num, den), "a long, b long")
+
+    # Sets join documents' ids: each id is an edge to its set's smallest id.
+    reps = materialize(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
+    of_member = members.join(reps, ["d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # Ids that stand for several sets join these.
+    ids = named.select("doc_id", "d1", "d2").distinct()
+    several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    of_several = several.join(ids, "doc_id").join(reps, ["d1", "d2"]).select("doc_id", "rep")
+    found = connected_components(links.union(of_member).union(of_several)).select(F.col("node").alias("rep"), "component")
     of_set = reps.join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     linked = sets.filter("n > 0").join(of_set, ["d1", "d2"], "left")
     linked = linked.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

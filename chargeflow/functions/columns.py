@@ -54,13 +54,13 @@ def current_bucket(amps: Column, edges: Sequence[float] = CURRENT_EDGES, beyond:
 
 
 def bucket_label(index: Column, edges: Sequence[float] = CURRENT_EDGES) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in range_labels(edges)]), index + 1)
+    return F.get(F.array(*[F.lit(x) for x in range_labels(edges)]), index)
 
 
 def bucket_middle(index: Column, edges: Sequence[float] = CURRENT_EDGES) -> Column:
     """The middle of a range; one ampere above its begin if it is open."""
     mids = [(a + b) / 2 if b < 1000 else a + 1.0 for a, b in zip(edges, edges[1:])]
-    return F.element_at(F.array(*[F.lit(float(x)) for x in mids]), index + 1)
+    return F.get(F.array(*[F.lit(float(x)) for x in mids]), index)
 
 
 # The coarse ranges of current, closed on the right.
@@ -74,7 +74,7 @@ def current_bin4(amps: Column) -> Column:
 
 
 def bin4_label(index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in BINS4]), index + 1)
+    return F.get(F.array(*[F.lit(x) for x in BINS4]), index)
 
 
 def soc_floor(soc: Column, step: float) -> Column:
@@ -135,14 +135,23 @@ def align_features(df: DataFrame, features: Sequence[str], missing: float | None
     return df.select(*[(to_double(F.col(f)) if f in have else F.lit(missing).cast("double")).alias(f) for f in features])
 
 
-# What is no feature.
-ALWAYS_DROPPED = ("vehicle", "vehicle_id", "yyyymm", "session_id", "session_key", "timestamp_local", "idle", "speed", "source_file")
-DROPPED_PATTERN = re.compile(r"energy|efficien|kwh", re.I)
+# Columns that are no features.
+ALWAYS_DROPPED = (
+    "timestamp_local", "session_id", "t_start", "t_end", "vehicle", "fail_reason", "speed", "idle", "slave_power_kw",
+    "vehicle_id", "yyyymm", "session_key",
+)
+ENERGY_NAMES = (
+    "estimated_energy_stored_kwh", "efficiency_pct", "charging_efficiency_pct", "charger_energy_kwh", "session_energy_in_kwh",
+    "pack_energy_in_kwh", "dc_energy_in_kwh", "ac_energy_in_kwh", "energy_in_kwh", "energy_stored_kwh_estimate", "inferred_efficiency",
+    "efficiency", "loss_kwh", "net_energy_kwh", "total_energy_kwh",
+)
+ENERGY_PATTERN = re.compile(r"(efficien|energy[_\-]stored|charger[_\-]?energy|energy[_\-]?loss|loss[_\-]?kwh)", re.I)
 
 
-def drop_forbidden(df: DataFrame, names: Sequence[str] = ALWAYS_DROPPED, pattern: re.Pattern[str] = DROPPED_PATTERN) -> DataFrame:
+def drop_forbidden(df: DataFrame, names: Sequence[str] = ALWAYS_DROPPED) -> DataFrame:
     """Without ids, operating columns and whatever tells of energy or efficiency."""
-    return df.drop(*[c for c in df.columns if c in names or pattern.search(c)])
+    gone = {*names, *ENERGY_NAMES}
+    return df.drop(*[c for c in df.columns if c in gone or ENERGY_PATTERN.search(c)])
 
 
 def as_numeric(df: DataFrame) -> DataFrame:

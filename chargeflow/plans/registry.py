@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_bands, queries_core
+from . import queries_bands, queries_core, queries_predictions
 
-MODULES = [queries_core, queries_bands]
+MODULES = [queries_core, queries_bands, queries_predictions]
 
 
 def queries() -> dict:

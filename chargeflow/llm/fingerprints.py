@@ -76,7 +76,10 @@ def colliding(docs: DataFrame, digests: DataFrame, id_col: str = "doc_id", text_
 
 
 def resolved(rows: DataFrame, collisions: DataFrame, digest_col: str, sha_col: str, out: str) -> DataFrame:
-    """``out``: the digest, and where it collides also the SHA-256 of the canonical text."""
+    """``out``: the digest, and where it collides also the SHA-256 of the canonical
+    text. ``collisions`` is a written table, as a rule an empty one: then no join is planned."""
+    if collisions.isEmpty():
+        return rows.withColumn(out, F.col(digest_col))
     c = collisions.select(F.col("digest").alias("_d"))
     full = F.when(F.col("_d").isNull(), F.col(digest_col)).otherwise(F.concat_ws("-", digest_col, sha_col))
     return rows.join(c, F.col(digest_col) == F.col("_d"), "left").withColumn(out, full).drop("_d")
@@ -99,12 +102,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(rows.mapInArrow(run, "doc_id long, digest string, sha string"))
-    return resolved(rows, colliding(docs, rows, id_col, text_col, digest_of), "digest", "sha", "fingerprint").select("doc_id", "fingerprint")
+    collisions = materialize(colliding(docs, rows, id_col, text_col, digest_of))
+    return resolved(rows, collisions, "digest", "sha", "fingerprint").select("doc_id", "fingerprint")
 
 
 def with_next(docs: DataFrame, make, fields: str) -> DataFrame:
     """``make(id, text, next text)`` for each row, ``fields`` long, where next is
-    the following row in descending order of id (null last; equal ids by text);
+    the following row in descending order of id (null last; equal ids by a hash of the text);
     after the last comes the first.
 
     The rows are range-partitioned by the order and each partition is read in
@@ -113,7 +117,8 @@ def with_next(docs: DataFrame, make, fields: str) -> DataFrame:
     two rows a partition.
     """
     names = [f.split()[0] for f in fields.split(", ")]
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last()]
+    # The ranges are cut by samples of the sort keys, which come to the driver: so texts are no keys, their hashes are.
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     schema = f"{fields}, part int, edge string, edge_id long, edge_text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,13 +174,13 @@ def _compare(doc: int | None, text: str | None, following: str | None) -> tuple:
     text, following = text or "", following or ""
     new = edited(text, following)
     own, changed, after = canonical(text), canonical(new), canonical(following)
-    return doc, len(text), _sha(new), digest(own), _sha(own), digest(changed), _sha(changed), digest(after), float(own == changed), float(own == after)
+    return doc, len(text), _sha(new), digest(own), _sha(own), digest(changed), _sha(changed), float(own == changed), float(own == after)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    fields = "doc_id long, n_chars long, edited_sha256 string, digest string, sha string, edited_digest string, edited_sha string, next_digest string, near_edited double, near_next double"
-    rows = materialize(with_next(docs, _compare, fields))
+    fields = "doc_id long, n_chars long, edited_sha256 string, digest string, sha string, edited_digest string, edited_sha string, near_edited double, near_next double"
+    rows = with_next(docs, _compare, fields)
     collisions = materialize(colliding(docs, rows))
     rows = resolved(rows, collisions, "digest", "sha", "fingerprint")
     rows = resolved(rows, collisions, "edited_digest", "edited_sha", "edited_fingerprint")

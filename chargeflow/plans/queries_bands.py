@@ -26,7 +26,7 @@ def pivot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def estimator_requests(spark: SparkSession, d: str) -> DataFrame:
-    """A request for each labelled minute of an even id."""
+    """A request for each labelled minute."""
     own = rct(spark, d).filter("soc is not null")
     name = F.concat_ws("/", F.col("vehicle_id"), "session_id", F.date_format("timestamp_local", "yyyyMMddHHmm"))
     return own.select(name.alias("request_id"), F.col("soc").alias("cur_soc"), (F.col("soc") + 25 - F.col("vehicle_id") % 7 * 5).alias("tgt_soc"), F.when(F.col("vehicle_id") % 5 != 0, F.col("current")).alias("amps"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .tables import materialize, read
 
-#: A unit of at least so many words is compared by itself, a shorter one together with its neighbours.
+#: A unit of at least so many words is compared by itself, a shorter one joined with those beside it.
 MIN_WORDS = 8
 #: A unit is what lies between two line ends, or two ends of sentences with white space after them.
 UNIT_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|[\x20\x09-\x0D]*[\n\r][\x20\x09-\x0D]*")
@@ -37,23 +37,33 @@ def units(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def keys(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, str | None]]:
-    """(start, end, key) of each unit: equal keys mark repeats. A short unit's
-    key holds the units beside it, so that a common short sentence is a repeat
-    only inside a repeated passage. Units without letters or digits have none;
-    nor has a short unit at either end of its text."""
-    spans = units(text)
-    folded = [normalised(text[a:b]) for a, b in spans]
-    out = []
-    for i, ((a, b), f) in enumerate(zip(spans, folded)):
-        if f.count(" ") + 1 >= min_words:
-            out.append((a, b, f))
-        elif f and 0 < i < len(spans) - 1:
-            around = f"{folded[i - 1]}\n{f}\n{folded[i + 1]}"
-            out.append((a, b, around if around.count(" ") + 3 >= min_words else None))
-        else:
-            out.append((a, b, None))
-    return out
+def keys(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, str]]:
+    """(start, end, key) of each stretch that is compared: equal keys mark repeats.
+    A unit of ``min_words`` is one. From a shorter unit on, and back from it,
+    units are joined until they hold so many words, so that a common short
+    sentence is a repeat only inside a repeated passage, and any passage of so
+    many words is covered to its first and last unit. Units without letters or
+    digits are passed over. A text of fewer words is one stretch with both its
+    ends, which equals only such texts."""
+    spans = [(a, b, f) for a, b in units(text) if (f := normalised(text[a:b]))]
+    upto = [0]
+    for _, _, f in spans:
+        upto.append(upto[-1] + f.count(" ") + 1)
+    if upto[-1] < min_words:
+        return [(spans[0][0], spans[-1][1], "\n".join(["", *(f for _, _, f in spans), ""]))] if spans else []
+    found, last, first = set(), 0, 0
+    for i in range(len(spans)):  # the shortest stretch on from each unit
+        while last <= len(spans) and upto[last] - upto[i] < min_words:
+            last += 1
+        if last > len(spans):
+            break
+        found.add((i, last - 1))
+    for j in range(len(spans)):  # and back from each
+        while upto[j + 1] - upto[first] >= min_words:
+            first += 1
+        if first:
+            found.add((first - 1, j))
+    return [(spans[i][0], spans[j][1], "\n".join(f for _, _, f in spans[i : j + 1])) for i, j in sorted(found)]
 
 
 def _units_of(min_words: int):
@@ -66,12 +76,11 @@ def _units_of(min_words: int):
                 doc, row, start, end, digest = [], [], [], [], []
                 for d, r, text in zip(*(c.to_pylist() for c in part.columns)):
                     for a, z, key in keys(text or "", min_words):
-                        if key is not None:
-                            doc.append(d)
-                            row.append(r)
-                            start.append(a)
-                            end.append(z)
-                            digest.append(xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass")))
+                        doc.append(d)
+                        row.append(r)
+                        start.append(a)
+                        end.append(z)
+                        digest.append(xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass")))
                 h = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
                 yield pa.record_batch([pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], names=names)
 
@@ -80,13 +89,15 @@ def _units_of(min_words: int):
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``row`` (a hash that tells rows of one id apart), ``start``,
-    ``end`` of every unit that occurs before, in code points of the original.
-
-    Units go by the rank (doc_id, row, start), null ids last; the first of each
-    digest stays. The first is found by partial aggregation, so a line that
-    half of all documents have is a row a task; the units meet it in a join
-    whose large keys adaptive execution splits. Equal rows repeat wholly: their
-    units have equal ranks and all stay, as they are one document.
+    ``end`` of every stretch (see ``keys``) that occurs before, in code points of
+    the original; stretches overlap.
+
+    They go by the rank (doc_id, row, start), null ids last; the first of each
+    digest stays, unless it is part of another that occurs before. The first is
+    found by partial aggregation, so a line that half of all documents have is a
+    row a task; the stretches meet it in a join whose large keys adaptive
+    execution splits. Equal rows repeat wholly: their stretches have equal ranks
+    and all stay, as they are one document.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).cast("string").alias("text"))
     found = rows.mapInArrow(_units_of(min_words), "doc_id long, row long, start int, end int, h1 long, h2 long")
@@ -97,9 +108,10 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_units_removed``, ``removed``
-    (array of start, end: offsets in the original, adjacent ones joined over the
-    white space between them), ``chars_removed`` and ``clean_text``.
+    """One row per row of ``docs``: ``doc_id``, ``n_units_removed`` (with letters
+    or digits), ``removed`` (array of start, end: offsets in the original, adjacent
+    ones joined over the white space between them), ``chars_removed`` and
+    ``clean_text``.
 
     Null and empty texts have no units and stay as they are, as do texts without
     repeats. Null and repeated ids are told apart by their text. Other columns
@@ -118,14 +130,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 joined: list[dict] = []
                 for u in units_ or []:
                     if joined and not text[joined[-1]["end"] : u["start"]].strip():
-                        joined[-1]["end"] = u["end"]
+                        joined[-1]["end"] = max(joined[-1]["end"], u["end"])
                     else:
                         joined.append(dict(u))
                 kept, at = [], 0
                 for s in joined:
                     kept.append(text[at : s["start"]])
                     at = s["end"]
-                count.append(len(units_ or []))
+                count.append(sum(bool(normalised(u)) for s in joined for u in UNIT_END.split(text[s["start"] : s["end"]])))
                 spans.append(joined)
                 chars.append(sum(s["end"] - s["start"] for s in joined))
                 texts.append("".join(kept) + text[at:] if joined else text)

@@ -223,6 +223,29 @@ def test_substring_dedup(spark, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_substring_dedup_of_passages_of_short_units(spark):
+    passage = " ".join(f"ERW{i}HED.!! Eh{i}.\n" for i in range(40))
+    own = "here begins what only this one document says to its readers"
+    rows = [(1, passage), (2, passage.lower()), (3, f"{own} one.\n{passage}\n{own} three."), (4, "Ho ho. Hi."), (5, "ho ho! hi"), (6, f"Ho ho. Hi.\n{own} six.")]
+    got = {r.doc_id: r for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].n_units_removed for i in range(1, 7)] == [0, 80, 80, 0, 2, 0]
+    assert not re.search("[a-z]", got[2].clean_text) and "hed" not in got[3].clean_text.lower() and got[3].clean_text.count(own) == 2
+
+
+def test_substring_dedup_covers_every_repeated_passage():
+    rng = random.Random(4)
+    unit = lambda: " ".join(rng.choices("abcdefgh", k=rng.choice([1, 1, 2, 4, 9, 12]))) + rng.choice([". ", "!\n", ".\n---\n"])
+    for _ in range(300):
+        passage = "".join(unit() for _ in range(rng.randint(1, 12)))
+        if len(re.findall("[a-h]", passage)) < substring_dedup.MIN_WORDS:
+            continue
+        here, there = (f"{''.join(unit() for _ in range(rng.randint(0, 3)))}\n" for _ in "ab")
+        known = {k for *_, k in substring_dedup.keys(there + passage + unit())}
+        spans = [(a, b) for a, b, k in substring_dedup.keys(here + passage + unit()) if k in known]
+        text = here + passage
+        assert all(any(a <= i < b for a, b in spans) for i in range(len(here), len(text)) if text[i].isalpha())
+
+
 def test_substring_dedup_keeps_one_of_each_unit(small):
     got = {r.doc_id: r for r in substring_dedup.remove_repeats(small).collect()}
     before, after = Counter(), Counter()

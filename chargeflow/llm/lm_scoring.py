@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,14 +11,17 @@ from pyspark.sql import functions as F
 
 from .tables import materialize, read
 
-#: Tokens are characters in lower case: the most frequent of the corpus, 1 for
-#: all others, 0 beyond a text's ends. 5 bits each.
-TOKENS = 32
-#: Widths of the network; rounds of training, batches of a task in a round, windows of a batch.
+#: Tokens are characters: a token for each that occurs so often in the corpus,
+#: hashed ones for the rest, 0 beyond a text's ends.
+LEAST, HASHED = 20, 64
+#: Widths of the network; rounds of training, windows of a batch.
 EMBEDDING, HIDDEN = 10, 48
-ROUNDS, STEPS, BATCH = 10, 40, 2048
+ROUNDS, BATCH = 30, 4096
 #: Characters that are handled at a time.
 SLICE = 1 << 20
+#: A window is packed in two numbers: the tokens two and one to the left; those one
+#: and two to the right and the token itself. A token has 21 bits, as many as a code point.
+LOW = (1 << 21) - 1
 
 
 def _points(text: str) -> np.ndarray:
@@ -27,25 +29,21 @@ def _points(text: str) -> np.ndarray:
 
 
 def token_table(letters: list[str]) -> np.ndarray:
-    """Token of each code point, for the corpus's most frequent characters."""
-    table = np.ones(0x110000, np.uint8)
-    for i, c in enumerate(letters[: TOKENS - 2]):
-        for x in (c.upper(), c):
-            if len(x) == 1:
-                table[ord(x)] = i + 2
+    """Token of each code point: the corpus's characters by their place, others by a hash."""
+    table = 1 + (np.arange(0x110000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % HASHED
+    table[[ord(c) for c in letters]] = 1 + HASHED + np.arange(len(letters))
     table[0] = 0
     return table
 
 
 def windows(texts: list[str | None], table: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, a code for each character, numbers by row): two
-    tokens left, two right, then the token itself. Whole texts; a long one comes
-    in several slices."""
+    """(first row, last row + 1, a packed window for each character, numbers by
+    row). Whole texts; a long one comes in several slices."""
     texts = [(t or "").replace("\0", "\1") for t in texts]
 
-    def codes(padded: str) -> np.ndarray:
-        s = table[_points(padded)].astype(np.int32)
-        return s[:-4] << 20 | s[1:-3] << 15 | s[3:-1] << 10 | s[4:] << 5 | s[2:-2]
+    def around(padded: str) -> np.ndarray:
+        s = table[_points(padded)]
+        return np.stack([s[:-4] << 21 | s[1:-3], s[3:-1] << 42 | s[4:] << 21 | s[2:-2]])
 
     row = 0
     while row < len(texts):
@@ -56,83 +54,90 @@ def windows(texts: list[str | None], table: np.ndarray) -> Iterator[tuple[int, i
         padded = "\0\0" + "\0\0".join(texts[row:end]) + "\0\0"
         if total > SLICE:  # one long text
             for at in range(0, total, SLICE):
-                got = codes(padded[at : at + SLICE + 4])
-                yield row, end, got, np.array([len(got)])
+                got = around(padded[at : at + SLICE + 4])
+                yield row, end, got, np.array([got.shape[1]])
         else:
-            got = codes(padded)
-            yield row, end, got[got & 31 != 0], np.array([len(t) for t in texts[row:end]])
+            got = around(padded)
+            yield row, end, got[:, got[1] & LOW != 0], np.array([len(t) for t in texts[row:end]])
         row = end
 
 
+def unpacked(p: np.ndarray) -> np.ndarray:
+    """The five tokens of each window."""
+    return np.stack([p[0] >> 21, p[0] & LOW, p[1] >> 42, p[1] >> 21 & LOW, p[1] & LOW], 1)
+
+
+def distinct(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that puts equal windows side by side, where each begins in it, and
+    the place among the distinct ones of each in that order."""
+    w = [p[0] >> 21, p[0] & LOW, p[1] >> 42, p[1] >> 21 & LOW, p[1] & LOW]
+    if max((int(x.max()) for x in w if len(x)), default=0) < 1 << 12:
+        key = w[0] << 48 | w[1] << 36 | w[2] << 24 | w[3] << 12 | w[4]
+        order = np.argsort(key)
+    else:
+        order = np.lexsort(p)
+    new = np.ones(p.shape[1], bool)
+    q = p[:, order]
+    new[1:] = (q[0, 1:] != q[0, :-1]) | (q[1, 1:] != q[1, :-1])
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
 class Network:
     """Embeddings of the four neighbours, one hidden layer, softmax over tokens."""
 
-    shapes = [(TOKENS, EMBEDDING), (4 * EMBEDDING, HIDDEN), (HIDDEN,), (HIDDEN, TOKENS), (TOKENS,)]
-
-    def __init__(self, flat: np.ndarray | None = None, seed: int = 0):
+    def __init__(self, flat: np.ndarray | None = None, seed: int = 0, tokens: int = 1 + HASHED):
+        if flat is not None:
+            tokens = (len(flat) - 4 * EMBEDDING * HIDDEN - HIDDEN) // (EMBEDDING + HIDDEN + 1)
+        self.shapes = [(tokens, EMBEDDING), (4 * EMBEDDING, HIDDEN), (HIDDEN,), (HIDDEN, tokens), (tokens,)]
         if flat is None:
             rng = np.random.default_rng(seed)
-            flat = np.concatenate([(rng.normal(size=s) / np.sqrt(s[0]) if len(s) > 1 else np.zeros(s)).ravel() for s in self.shapes])
+            # Embeddings are looked up, not summed: their size doesn't depend on how many there are.
+            flat = np.concatenate([(rng.normal(size=s) / np.sqrt(s[0] if k else 32) if len(s) > 1 else np.zeros(s)).ravel() for k, s in enumerate(self.shapes)])
         self.flat = np.asarray(flat, np.float64)
 
     def parts(self, flat: np.ndarray) -> list[np.ndarray]:
         ends = np.cumsum([int(np.prod(s)) for s in self.shapes])
         return [flat[e - int(np.prod(s)) : e].reshape(s) for e, s in zip(ends, self.shapes)]
 
-    @staticmethod
-    def context(codes: np.ndarray) -> np.ndarray:
-        return np.stack([codes >> 20, codes >> 15 & 31, codes >> 10 & 31, codes >> 5 & 31], 1)
-
     def log_probabilities(self, context: np.ndarray) -> np.ndarray:
         """Log-probability of each token between the neighbours in ``context``.
         A text has no character that is token 0, so that one has none."""
-        e, w, b, v, c = self.parts(self.flat)
+        e, w, b, v, c = (x.astype(np.float32) for x in self.parts(self.flat))
         z = np.tanh(e[context].reshape(len(context), -1) @ w + b) @ v + c
         z[:, 0] = -np.inf
-        top = z.max(1, keepdims=True)
-        return z - top - np.log(np.exp(z - top).sum(1, keepdims=True))
+        z -= z.max(1, keepdims=True)
+        return z - np.log(np.exp(z).sum(1, keepdims=True))
+
+    def of_windows(self, w: np.ndarray) -> np.ndarray:
+        """Log-probability of the last token of each window, in blocks."""
+        out = np.empty(len(w), np.float32)
+        for at in range(0, len(w), BATCH):
+            part = w[at : at + BATCH]
+            out[at : at + BATCH] = self.log_probabilities(part[:, :4])[np.arange(len(part)), part[:, 4]]
+        return out
 
-    def gradient(self, codes: np.ndarray) -> np.ndarray:
-        e, w, b, v, c = self.parts(self.flat)
-        context, target = self.context(codes), codes & 31
-        x = e[context].reshape(len(codes), -1)
+    def gradient(self, w_: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of the summed loss of these windows, each as often as it was counted."""
+        e, w, b, v, c = (x.astype(np.float32) for x in self.parts(self.flat))
+        context, target = w_[:, :4], w_[:, 4]
+        x = e[context].reshape(len(w_), -1)
         h = np.tanh(x @ w + b)
         z = h @ v + c
         z[:, 0] = -np.inf
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        p[np.arange(len(codes)), target] -= 1
-        p /= len(codes)
+        p[np.arange(len(w_)), target] -= 1
+        p *= counts[:, None].astype(np.float32)
         out = np.zeros_like(self.flat)
         ge, gw, gb, gv, gc = self.parts(out)
         gv[:], gc[:] = h.T @ p, p.sum(0)
         dh = (p @ v.T) * (1 - h * h)
         gw[:], gb[:] = x.T @ dh, dh.sum(0)
-        np.add.at(ge, context.ravel(), (dh @ w.T).reshape(-1, EMBEDDING))
+        dx = (dh @ w.T).reshape(-1, EMBEDDING)
+        for k in range(EMBEDDING):
+            ge[:, k] = np.bincount(context.ravel(), dx[:, k], minlength=len(ge))
         return out
 
-    def fit(self, codes: np.ndarray, counts: np.ndarray, steps: int, rate: float, seed: int) -> None:
-        """Adam on batches of windows drawn in proportion to their counts."""
-        rng = np.random.default_rng(seed)
-        upto = np.cumsum(counts, dtype=np.float64)
-        m, v = np.zeros_like(self.flat), np.zeros_like(self.flat)
-        for t in range(1, steps + 1):
-            g = self.gradient(codes[np.searchsorted(upto, rng.random(BATCH) * upto[-1], "right").clip(0, len(codes) - 1)])
-            m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-            self.flat -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-
-
-@lru_cache(1)
-def _table_of(flat: bytes) -> np.ndarray:
-    """The network's log-probability of every window code: 2 ** 25 floats, made
-    once by each worker from the few thousand weights."""
-    net = Network(np.frombuffer(flat))
-    out = np.empty(TOKENS**5, np.float32)
-    step = 1 << 14
-    for at in range(0, TOKENS**4, step):
-        out[at * TOKENS : (at + step) * TOKENS] = net.log_probabilities(Network.context(np.arange(at, at + step) * TOKENS)).ravel()
-    return out
-
 
 class Model:
     """A trained network with the corpus's tokens."""
@@ -141,22 +146,26 @@ class Model:
         self.letters, self.flat = letters, network.flat.tobytes()
 
     def scores(self, texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Characters and summed log-probabilities of whole texts."""
+        """Characters and summed log-probabilities of whole texts; the network sees
+        each distinct window of a slice once."""
         n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        of = _table_of(self.flat)
-        for row, end, codes, lengths in windows(texts, table):
-            upto = np.concatenate([[0.0], np.cumsum(of[codes], dtype=np.float64)])
+        net = Network(np.frombuffer(self.flat))
+        for row, end, w, lengths in windows(texts, table):
+            order, starts, place = distinct(w)
+            each = np.empty(len(order))
+            each[order] = net.of_windows(unpacked(w[:, order[starts]]))[place]
+            upto = np.concatenate([[0.0], np.cumsum(each)])
             at = np.concatenate([[0], np.cumsum(lengths)])
             n[row:end] += lengths
             total[row:end] += upto[at[1:]] - upto[at[:-1]]
         return n, total
 
 
-def letters_of(docs: DataFrame, text_col: str = "text", most: int = TOKENS - 2) -> list[str]:
-    """The most frequent characters of all texts, in lower case."""
+def letters_of(docs: DataFrame, text_col: str = "text", least: int = LEAST) -> list[str]:
+    """Every character that all texts hold ``least`` times together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, int] = {}
+        total: dict[int, int] = {}
         for b in batches:
             texts = [t for t in b.column(0).to_pylist() if t]
             for at in range(0, len(texts), 256):
@@ -164,69 +173,73 @@ def letters_of(docs: DataFrame, text_col: str = "text", most: int = TOKENS - 2)
                 for k in range(0, len(joined), 4 * SLICE):
                     counts = np.bincount(_points(joined[k : k + 4 * SLICE]))
                     for p in np.flatnonzero(counts).tolist():
-                        c = chr(p).lower()[0]
-                        total[c] = total.get(c, 0) + int(counts[p])
-        total.pop("\0", None)
-        yield pa.record_batch([pa.array([ord(c) for c in total], pa.int32()), pa.array(list(total.values()), pa.int64())], names=["point", "n"])
+                        total[p or 1] = total.get(p or 1, 0) + int(counts[p])
+        yield pa.record_batch([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["point", "n"])
 
     found = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "point int, n long")
-    top = found.groupBy("point").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "point").limit(most).collect()
-    return [chr(r.point) for r in top]
+    top = found.groupBy("point").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).collect()
+    return [chr(p) for p in sorted(r.point for r in top)]
 
 
 def window_counts(docs: DataFrame, letters: list[str], text_col: str = "text") -> DataFrame:
-    """``code``, ``n``: how often each window occurs in all texts."""
+    """``left``, ``right`` (see ``LOW``), ``n``: how often each window occurs in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_table(letters)
-        held, rows = [], 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
+
+        def merged(p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            order, starts, _ = distinct(p)
+            return p[:, order[starts]], np.add.reduceat(n[order], starts)
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            codes, counts = np.concatenate([c for c, _ in held]), np.concatenate([n for _, n in held])
-            order = np.argsort(codes, kind="stable")
-            codes, counts = codes[order], counts[order]
-            at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            return codes[at], np.add.reduceat(counts, at)
+        def out() -> Iterator[pa.RecordBatch]:
+            if held:
+                p, n = merged(np.concatenate([p for p, _ in held], 1), np.concatenate([n for _, n in held]))
+                held.clear()
+                for at in range(0, p.shape[1], 100_000):
+                    left, right = p[:, at : at + 100_000]
+                    yield pa.record_batch([pa.array(left), pa.array(right), pa.array(n[at : at + 100_000])], names=["left", "right", "n"])
 
         for b in batches:
-            for _, _, codes, _ in windows(b.column(0).to_pylist(), table):
-                if len(codes):
-                    held.append(np.unique(codes, return_counts=True))
-                    rows += len(held[-1][0])
+            for _, _, w, _ in windows(b.column(0).to_pylist(), table):
+                if w.size:
+                    held.append(merged(w, np.ones(w.shape[1], np.int64)))
+                    rows += len(held[-1][1])
                 if rows > 2_000_000:
-                    held[:] = [merged()]
+                    yield from out()
                     rows = 0
-        if held:
-            codes, counts = merged()
-            for at in range(0, len(codes), 100_000):
-                yield pa.record_batch([pa.array(codes[at : at + 100_000], pa.int32()), pa.array(counts[at : at + 100_000], pa.int64())], names=["code", "n"])
+        yield from out()
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "left long, right long, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Model:
     """Trains on the windows of all texts. Windows are counted over the corpus;
-    in each round every task improves the same network on its share of the
-    counts, and the results are averaged, weighted by windows. Only weights
-    (a few thousand numbers a task) come to the driver."""
+    each round is a full pass: every task sums the gradient over all of its
+    windows, each weighted by its count, and a step of Adam follows the sum of
+    all tasks. Only gradients (some thousand numbers a task) come to the driver."""
     letters = letters_of(docs, text_col)
     counts = materialize(window_counts(docs, letters, text_col))
-    net = Network()
-    for r in range(rounds):
-        start, rate = net.flat.copy(), 0.02 * 0.75**r
-
-        def run(batches: Iterator[pa.RecordBatch], start=start, rate=rate, r=r) -> Iterator[pa.RecordBatch]:
-            got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if len(b)]
-            if got:
-                codes, n = np.concatenate([c for c, _ in got]), np.concatenate([n for _, n in got])
-                order = np.argsort(codes)
-                local = Network(start)
-                local.fit(codes[order], n[order], STEPS, rate, 1000 * r + len(codes) % 997)
-                yield pa.record_batch([pa.array([float(n.sum())]), pa.array([local.flat.tolist()], pa.list_(pa.float64()))], names=["weight", "flat"])
-
-        results = sorted(counts.mapInArrow(run, "weight double, flat array<double>").collect())
+    net = Network(tokens=1 + HASHED + len(letters))
+    m, v = np.zeros_like(net.flat), np.zeros_like(net.flat)
+    for r in range(1, rounds + 1):
+
+        def run(batches: Iterator[pa.RecordBatch], flat=net.flat.copy()) -> Iterator[pa.RecordBatch]:
+            local, total, weight = Network(flat), np.zeros_like(flat), 0
+            for b in batches:
+                w, n = unpacked(np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()])), b.column(2).to_numpy()
+                weight += int(n.sum())
+                for at in range(0, len(w), BATCH):
+                    total += local.gradient(w[at : at + BATCH], n[at : at + BATCH])
+            if weight:
+                yield pa.record_batch([pa.array([float(weight)]), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["weight", "gradient"])
+
+        results = sorted(counts.mapInArrow(run, "weight double, gradient array<double>").collect())
         if results:
-            net = Network(np.average([x.flat for x in results], axis=0, weights=[x.weight for x in results]))
+            g = np.sum([x.gradient for x in results], axis=0) / sum(x.weight for x in results)
+            m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+            net.flat = net.flat - 0.05 * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
     return Model(letters, net)
 
 

@@ -301,6 +301,30 @@ def test_lm_scores_are_sums_of_conditionals(small, odd, empty):
     assert lm_scoring.score(empty, lm_scoring.train(empty, rounds=1)).count() == 0
 
 
+def test_lm_tells_rare_characters_apart(spark):
+    # 40 letters, digits and a second script, all often; a few characters are rare.
+    alphabet = "abcdefghijklmnopqrstuvwxyzäöüßñíçêABC0123456789абвгд"
+    docs = spark.createDataFrame([(i, "".join(c + " " for c in alphabet)) for i in range(30)] + [(99, "".join(map(chr, range(0x4E00, 0x4E40))))], "doc_id long, text string")
+    letters = lm_scoring.letters_of(docs)
+    assert set(letters) == {*alphabet, " "}
+    table = lm_scoring.token_table(letters)
+    assert len({table[ord(c)] for c in letters}) == len(letters) and len({table[p] for p in range(0x4E00, 0x4E40)} - {table[ord(c)] for c in letters}) > 20
+
+
+def test_lm_gradient_passes_over_all_windows(spark):
+    rng = np.random.default_rng(2)
+    net = lm_scoring.Network(tokens=70, seed=3)
+    w, n = rng.integers(1, 70, (50, 5)), rng.integers(1, 9, 50)
+    loss = lambda flat: -(n * np.log(np.take_along_axis(np.exp(lm_scoring.Network(flat).log_probabilities(w[:, :4]).astype(np.float64)), w[:, 4:], 1)[:, 0])).sum()
+    g, way = net.gradient(w, n), rng.normal(size=len(net.flat))
+    assert (loss(net.flat + 1e-3 * way) - loss(net.flat - 1e-3 * way)) / 2e-3 == pytest.approx(g @ way, rel=0.02)
+    # A window counted twice weighs as two; none is left out.
+    assert np.allclose(net.gradient(np.repeat(w, n, 0), np.ones(n.sum())), g, rtol=1e-3, atol=1e-3)
+    docs = spark.createDataFrame([(1, "abcabc" * 50), (2, "äöü" * 9), (3, None)], "doc_id long, text string")
+    counts = lm_scoring.window_counts(docs, ["a", "b"])
+    assert counts.agg(F.sum("n")).first()[0] == 327
+
+
 def test_lm_likes_prose_better_than_noise(spark, small):
     model = lm_scoring.train(small)
     prose = small.filter("lang = 'en' and n_chars > 500").orderBy("doc_id").first().text

@@ -1,42 +1,21 @@
-"""A piece vocabulary and its best segmentation of texts, as max-plus products."""
+"""A piece vocabulary and the merges of texts to its pieces."""
 
 from __future__ import annotations
 
 import numpy as np
 
 SPACE = "▁"
-#: A worker keeps the segmentations of so many segments; then it begins anew.
-CACHE = 400_000
-
-
-def scan(matrices: np.ndarray) -> np.ndarray:
-    """Prefix products (max-plus) of a stack of matrices, by doubling: the
-    product is associative, so any grouping gives the same prefixes."""
-    out, step = matrices.copy(), 1
-    while step < len(out):
-        done = out.copy()
-        for at in range(step, len(out), 512):
-            a, b = out[at - step : min(at + 512, len(out)) - step], out[at : at + 512]
-            done[at : at + 512] = (a[:, :, :, None] + b[:, None, :, :]).max(2)
-        out, step = done, step * 2
-    return out
-
 
 class Pieces:
-    """Pieces and scores of a SentencePiece model. The best segmentation of a
-    text has the largest sum of scores; of equal ones, the one whose last piece
-    is longest, and so on backwards. A character that is no piece costs the
-    smallest score less 10 and is written as its bytes, where the model has
-    byte pieces, or else as the unknown piece."""
+    """Pieces of a SentencePiece model of the BPE kind, whose scores are ranks of
+    merges, and the encoding of that model: the pair of neighbours of the best rank
+    merges first, the leftmost of equal ones. No merge crosses a place that no piece
+    spans, so texts that are cut there have the ids of the whole."""
 
-    def __init__(self, pieces: list[str], scores: list[float], kinds: list[str], unknown: int, prefix: bool = True):
+    def __init__(self, pieces: list[str], scores: list[float], kinds: list[str], prefix: bool = True, model: bytes = b""):
         self.id = {p: i for i, (p, k) in enumerate(zip(pieces, kinds)) if k == "normal"}
         self.score = np.array(scores, np.float64)
-        self.score_of = {p: float(scores[i]) for p, i in self.id.items()}
-        self.unknown_score = min(self.score_of.values(), default=0.0) - 10
-        self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds)) if k == "byte"}
-        self.unknown, self.prefix = unknown, prefix
-        self.longest = max(map(len, self.id), default=1)
+        self.prefix, self.model, self.merges = prefix, model, None
         self.raw = [bytes([int(p[3:5], 16)]) if k == "byte" else p.replace(SPACE, " ").encode() if k == "normal" else " ⁇ ".encode() if k == "unknown" else b"" for p, k in zip(pieces, kinds)]
         # A place between two characters that stand side by side in no piece is a cut: no piece spans it.
         chars = sorted({c for p in self.id for c in p})
@@ -46,22 +25,24 @@ class Pieces:
         for p in self.id:
             at = self.char[[ord(c) for c in p]]
             self.joined[at[:-1], at[1:]] = True
-        self.cache: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, model_file: str) -> Pieces:
-        import sentencepiece
+        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
-        m = sentencepiece.SentencePieceProcessor(model_file=model_file)
+        m = SentencePieceProcessor(model_file=model_file)
         n = range(m.get_piece_size())
         kinds = ["unknown" if m.is_unknown(i) else "control" if m.is_control(i) else "byte" if m.is_byte(i) else "unused" if m.is_unused(i) else "normal" for i in n]
-        return cls([m.id_to_piece(i) for i in n], [m.get_score(i) for i in n], kinds, m.unk_id())
+        # The prefix is put on before texts are cut, not to each part.
+        proto = sentencepiece_model_pb2.ModelProto.FromString(m.serialized_model_proto())
+        prefix, proto.normalizer_spec.add_dummy_prefix = proto.normalizer_spec.add_dummy_prefix, False
+        return cls([m.id_to_piece(i) for i in n], [m.get_score(i) for i in n], kinds, prefix, proto.SerializeToString())
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
+        return self.__dict__ | {"merges": None}
 
     def prepared(self, text: str) -> str:
-        """The text as the lattice sees it: blanks as U+2581, one before it."""
+        """The text as the merges see it: blanks as U+2581, one before it."""
         return (SPACE if self.prefix and text else "") + text.replace(" ", SPACE)
 
     def cuts(self, text: str) -> np.ndarray:
@@ -69,119 +50,32 @@ class Pieces:
         at = self.char[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
         return np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1
 
-    def edges(self, text: str, start: int, end: int, limit: int) -> list[tuple[int, float]]:
-        """(length, score) of the pieces of ``text`` that begin at ``start`` and end
-        by ``limit``; begins before ``end`` only."""
-        out = []
-        if start < end:
-            get = self.score_of.get
-            for n in range(1, min(self.longest, limit - start) + 1):
-                s = get(text[start : start + n])
-                if s is not None:
-                    out.append((n, s))
-                elif n == 1:
-                    out.append((1, self.unknown_score))
-        return out
-
-    def _ids(self, piece: str) -> list[int]:
-        i = self.id.get(piece)
-        if i is not None:
-            return [i]
-        if not self.bytes:
-            return [self.unknown]
-        return [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
-
-    def path(self, text: str, start: int = 0, stop: int | None = None) -> list[int]:
-        """Ids of the best segmentation of text[start:stop]."""
-        stop = len(text) if stop is None else stop
-        best = [-np.inf] * (stop - start + 1)
-        back = [0] * len(best)
-        best[0] = 0.0
-        for p in range(start, stop):
-            here = best[p - start]
-            for n, s in self.edges(text, p, stop, stop):
-                q = p - start + n
-                if here + s > best[q]:  # the earlier beginning wins a tie
-                    best[q], back[q] = here + s, n
-        out: list[int] = []
-        q = stop - start
-        while q:
-            out[:0] = self._ids(text[start + q - back[q] : start + q])
-            q -= back[q]
-        return out
-
-    def segment(self, text: str, start: int, stop: int, cuts: np.ndarray) -> bytes:
-        """The ids (32 bits each) of text[start:stop], which ``cuts`` part."""
-        inner = cuts[np.searchsorted(cuts, start, "right") : np.searchsorted(cuts, stop)].tolist()
-        parts = [text[a:b] for a, b in zip([start, *inner], [*inner, stop])]
-        cache = self.cache
-        try:
-            return b"".join([cache[p] for p in parts])
-        except KeyError:
-            if len(cache) > CACHE:
-                cache.clear()
-            for p in parts:
-                if p not in cache:
-                    cache[p] = np.array(self.path(p), np.int32).tobytes()
-            return b"".join([cache[p] for p in parts])
+    def parts(self, text: str, size: int) -> list[str]:
+        """A prepared text cut at the first place after each ``size`` characters that
+        no piece spans. Where there is none, the part goes on."""
+        cuts = self.cuts(text)
+        bounds = [0]
+        while (k := np.searchsorted(cuts, bounds[-1] + size)) < len(cuts):
+            bounds.append(int(cuts[k]))
+        return [text[a:b] for a, b in zip(bounds, [*bounds[1:], len(text)])]
+
+    def merged(self, prepared: str) -> bytes:
+        """The ids (32 bits each) of a prepared text or a part of one."""
+        if self.merges is None:
+            from sentencepiece import SentencePieceProcessor
+
+            self.merges = SentencePieceProcessor(model_proto=self.model)
+        return np.array(self.merges.encode(prepared), np.int32).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The ids of a whole text in one piece."""
-        t = self.prepared(text)
-        return self.segment(t, 0, len(t), self.cuts(t)) if t else b""
+        """The ids of a whole text."""
+        return self.merged(self.prepared(text))
 
     def decode(self, ids: np.ndarray) -> str:
         raw = self.raw
         out = b"".join([raw[i] for i in ids.tolist()]).decode("utf-8", "replace")
         return out[1:] if self.prefix and out[:1] == " " else out
 
-    def _reach(self, text: str, start: int, end: int, limit: int) -> np.ndarray:
-        """Best scores from ``start`` to end .. limit, by pieces that begin before ``end``."""
-        best = np.full(limit - start + 1, -np.inf)
-        best[0] = 0
-        for p in range(start, end):
-            for n, s in self.edges(text, p, end, limit):
-                best[p - start + n] = max(best[p - start + n], best[p - start] + s)
-        return best[end - start :]
-
-    def transfer(self, text: str, core: int) -> np.ndarray:
-        """The transfer matrix of a chunk of a prepared text: its first ``core``
-        characters and some that follow. Entry [s, e]: the best score from s
-        characters into the chunk (the piece before reaches so far) to e
-        characters behind its core, by pieces that begin within it."""
-        n = self.longest
-        out = np.full((n, n), -np.inf)
-        limit = min(len(text), core + n - 1)
-        cuts = self.cuts(text[:core])
-        if len(cuts) and cuts[-1] <= core:
-            first, last = int(cuts[0]), int(cuts[-1])
-            tail = self._reach(text, last, core, limit)
-            middle = self.score_sum(np.frombuffer(self.segment(text, first, last, cuts), np.int32)) if last > first else 0.0
-            for s in range(min(n - 1, first) + 1):
-                head = self._reach(text, s, first, first)[0] if s < first else 0.0
-                out[s, : len(tail)] = head + middle + tail
-            return out
-        best = np.full((limit + 1, n), -np.inf)  # from every entry at once
-        for s in range(min(n, core + 1)):
-            best[s, s] = 0
-        for p in range(core):
-            for m, s in self.edges(text, p, core, limit):
-                np.maximum(best[p + m], best[p] + s, out=best[p + m])
-        out[:, : limit - core + 1] = best[core : limit + 1].T
-        return out
-
     def score_sum(self, ids: np.ndarray) -> float:
-        """Bytes of unknown characters count as nothing: they are the same on every path between two cuts."""
+        """Pieces of blanks, whose rank is none, count as nothing."""
         return float(self.score[ids[self.score[ids] > -1e8]].sum())
-
-    def boundaries(self, matrices: np.ndarray) -> list[tuple[int, int]]:
-        """(entry, exit) of each chunk on the best path, from all their transfer
-        matrices: prefix products, then back from the end, at exit 0."""
-        reach = scan(matrices)[:, 0, :]
-        out, exit_ = [], 0
-        for k in range(len(matrices) - 1, -1, -1):
-            before = reach[k - 1] if k else np.where(np.arange(len(matrices[0])) == 0, 0.0, -np.inf)
-            entry = int(np.argmax(before + matrices[k][:, exit_]))
-            out.append((entry, exit_))
-            exit_ = entry
-        return out[::-1]

@@ -16,7 +16,7 @@ from .pieces import Pieces
 from .tables import materialize, read
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
-#: Prepared characters of a chunk. Texts with more are encoded in several tasks.
+#: Prepared characters of a part at least. Texts with more are encoded in several tasks.
 CHUNK = 1 << 15
 
 _ENCODED = "doc_id long, n_chars long, text_sha256 string, ids array<int>"
@@ -40,13 +40,12 @@ def _runs(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
 def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_chars``, ``text_sha256``, ``ids``.
 
-    A segmentation of the largest sum of piece scores (see ``Pieces``). A text of
-    more than ``chunk`` characters is a max-plus scan: its chunks give, in
-    parallel, transfer matrices between the places where a piece may cross their
-    bounds; the products of these fix each chunk's entry and exit; the chunks
-    are then backtraced in parallel. Rows without text (null or empty) have no
-    ids; null and repeated ids are kept as they are; other columns are ignored.
-    The model file is read on the driver; its pieces are broadcast.
+    The ids are those that sentencepiece gives with the model (see ``Pieces``). A
+    text of more than ``chunk`` characters is cut where no piece spans the place;
+    its parts are encoded in parallel and put together again. A run without such
+    a place stays in one part, whatever its length. Rows without text (null or
+    empty) have no ids; null and repeated ids are kept as they are; other columns
+    are ignored. The model file is read on the driver; its pieces are broadcast.
     """
     held = docs.sparkSession.sparkContext.broadcast(Pieces.load(model_file))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -59,53 +58,29 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id"
 
     short = rows.filter(F.length("text") < chunk).mapInArrow(whole, _ENCODED)
 
-    names = ["row", "doc_id", "n_chars", "text_sha256", "chunk", "core", "text"]
+    names = ["row", "doc_id", "n_chars", "text_sha256", "chunk", "text"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
         for b in _runs(batches, 8):
             out = []
             for doc, text in zip(*(c.to_pylist() for c in b.columns)):
-                t, n, sha = held.value.prepared(text), len(text), _sha(text)
-                for k, at in enumerate(range(0, len(t), chunk)):
-                    core = min(chunk, len(t) - at)
-                    out.append((f"{part}-{count}", doc, n, sha, k, core, t[at : at + core + held.value.longest - 1]))
+                n, sha = len(text), _sha(text)
+                out += [(f"{part}-{count}", doc, n, sha, k, t) for k, t in enumerate(held.value.parts(held.value.prepared(text), chunk))]
                 count += 1
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string()]
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string()]
             yield pa.record_batch([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names)
 
-    def transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _runs(batches, 64):
-            out = [held.value.transfer(t, core).tobytes() for core, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["row", "chunk", "matrix"])
-
-    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 16):
-            out = []
-            for row, steps in zip(*(c.to_pylist() for c in b.columns)):
-                n = held.value.longest
-                stack = np.array([np.frombuffer(s["matrix"], np.float64).reshape(n, n) for s in steps])
-                out += [(row, s["chunk"], *x) for s, x in zip(steps, held.value.boundaries(stack))]
-            kinds = [("row", pa.string()), ("chunk", pa.int32()), ("entry", pa.int32()), ("exit", pa.int32())]
-            yield pa.record_batch([pa.array([r[i] for r in out], kind) for i, (_, kind) in enumerate(kinds)], names=[n for n, _ in kinds])
-
-    def backtrace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 64):
-            out = []
-            for core, text, entry, exit_ in zip(*(b.column(i).to_pylist() for i in range(5, 9))):
-                out.append(held.value.segment(text, entry, core + exit_, held.value.cuts(text)) if core + exit_ > entry else b"")
+            out = [held.value.merged(t) for t in b.column(5).to_pylist()]
             yield pa.record_batch([*b.columns[:5], pa.array(out, pa.binary())], names=[*names[:5], "ids"])
 
-    # The chunks are written once, so that the numbers that name their rows never change.
-    long_ = rows.filter(F.length("text") >= chunk).mapInArrow(cut, "row string, doc_id long, n_chars long, text_sha256 string, chunk int, core int, text string")
-    chunks = materialize(long_)
-    spread = chunks.repartition("row", "chunk")
-    matrices = spread.select("row", "chunk", "core", "text").mapInArrow(transfers, "row string, chunk int, matrix binary")
-    stacked = matrices.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "matrix"))).alias("steps"))
-    bounds = stacked.mapInArrow(join_up, "row string, chunk int, entry int, exit int")
-    traced = chunks.join(bounds, ["row", "chunk"]).select(*names, "entry", "exit")
-    traced = traced.mapInArrow(backtrace, "row string, doc_id long, n_chars long, text_sha256 string, chunk int, ids binary")
-    ordered = traced.groupBy("row", "doc_id", "n_chars", "text_sha256").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
+    # The parts are written once, so that the numbers that name their rows never change.
+    long_ = rows.filter(F.length("text") >= chunk).mapInArrow(cut, "row string, doc_id long, n_chars long, text_sha256 string, chunk int, text string")
+    spread = materialize(long_).repartition("row", "chunk")
+    merged = spread.mapInArrow(merge, "row string, doc_id long, n_chars long, text_sha256 string, chunk int, ids binary")
+    ordered = merged.groupBy("row", "doc_id", "n_chars", "text_sha256").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
 
     def glue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _runs(batches, 16):

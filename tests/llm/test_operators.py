@@ -206,6 +206,18 @@ def test_sentence_pieces_in_chunks_are_as_good_as_whole(spark, small):
         assert pieces.score_sum(np.array(r.ids, np.int64)) == pytest.approx(pieces.score_sum(np.array(whole[r.doc_id], np.int64)), rel=1e-9)
 
 
+def test_sentence_pieces_are_those_of_the_model(spark, small):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL_FILE)
+    more = [(-1, "international " * 60, "en", "x", 0), (-2, "  a   b\t\n" * 40 + "日本é😀" * 30, "en", "x", 0), (-3, "=" * 500 + "ab" * 300 + "\0", "en", "x", 0)]
+    docs = small.filter("n_chars < 6000").union(spark.createDataFrame(more, small.schema)).cache()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for chunk in (97, sentence_pieces.CHUNK):
+        for r in sentence_pieces.encode(docs, chunk=chunk).collect():
+            assert r.ids == model.encode(texts[r.doc_id])
+
+
 def test_sentence_pieces_of_odd_rows(odd, empty):
     got = sentence_pieces.decode(sentence_pieces.encode(odd)).collect()
     assert Counter((r.doc_id, r.decoded) for r in got) == Counter((d, t or "") for d, t, *_ in ODD)

@@ -113,62 +113,79 @@ def _signed(k: int, num: int, den: int):
     return run
 
 
-def _links(k: int, num: int, den: int):
-    """Rows of one traversal follow each other; two sides are two blocks of one cell."""
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    pair = np.array([(s * _A).sum(), ((s ^ (s >> np.uint64(29))) * (s | np.uint64(1))).sum()], np.uint64).view(np.int64)
+    return int(pair[0]), int(pair[1])
+
+
+def _links(k: int, num: int, den: int, count: bool):
+    """Rows of one traversal follow each other; two sides are two blocks of one
+    cell. Of each set one row takes part, that of its digest. ``a``, ``b`` are links
+    that span the groups, ``n`` is null; with ``count`` there is also a row for each
+    set that has links here: its ``d1``, ``d2`` and the documents ``n`` it links with."""
+    names = ["a", "b", "d1", "d2", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, sides, sets = None, [], [], []
+        key, held = None, {}
+
+        def found() -> list[tuple]:
+            rows = list(held.values())
+            if len(rows) < 2:
+                return []
+            sides, weights = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+            counts = np.zeros(len(rows), np.int64) if count else None
+            pairs = linked_pairs([r[3] for r in rows], num, den, None if sides[0] < 0 else sides, counts, weights)
+            out: list[tuple] = [(rows[i][0], rows[j][0], None, None, None) for i, j in pairs]
+            return out + ([(None, None, *d, int(n)) for d, n in zip(held, counts) if n] if count else [])
 
-        def found() -> tuple[list[int], list[int]]:
-            pairs = linked_pairs(sets, num, den, None if len(set(sides)) < 2 else np.array(sides))
-            return [ids[i] for i, _ in pairs], [ids[j] for _, j in pairs]
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names=names)
 
         for b in batches:
-            a, c = [], []
-            for task, doc, side, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), shingle_sets(b.column(3), k)):
+            out = []
+            for task, doc, side, copies, d1, d2, s in zip(*(c.to_pylist() for c in b.columns[:6]), shingle_sets(b.column(6), k)):
                 if task != key:
-                    x, y = found()
-                    a += x
-                    c += y
-                    key, ids, sides, sets = task, [], [], []
-                ids.append(doc)
-                sides.append(side)
-                sets.append(s)
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
-        x, y = found()
-        yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+                    out += found()
+                    key, held = task, {}
+                if _digest(s) == (d1, d2):  # a repeated id may have other texts
+                    held.setdefault((d1, d2), (doc, side, copies, s))
+            yield batch(out)
+        yield batch(found())
 
     return run
 
 
 def _tasks(cells: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """``doc_id``, ``task``, ``side``: the traversals that a document takes part
-    in. A cell of up to ``block`` shingles is one. In a larger one, documents are
+    """``doc_id``, ``copies``, ``d1``, ``d2``, ``task``, ``side``: the traversals that
+    a set takes part in; the side is -1 where there are not two. A cell of up to ``block`` shingles is one. In a larger one, documents are
     dealt to blocks by size class (a pair's classes differ by one at most) and
     hash; each pair of blocks that can hold a pair of documents is a traversal."""
+    own = ["doc_id", "copies", "d1", "d2"]
     total = cells.groupBy("cell").agg(F.sum("n").alias("total"))
     cells = cells.join(total, "cell")
-    small = cells.filter(F.col("total") <= block).select("doc_id", F.col("cell").cast("string").alias("task"), F.lit(0).alias("side"))
+    small = cells.filter(F.col("total") <= block).select(*own, F.col("cell").cast("string").alias("task"), F.lit(-1).alias("side"))
     class_ = F.floor(F.log("n") / F.log(F.lit(den / num)) + 1e-9)
     large = cells.filter(F.col("total") > block).withColumn("class", class_)
     parts = large.groupBy("cell", "class").agg(F.ceil(F.sum("n") * 2 / block).alias("parts"))
-    large = large.join(parts, ["cell", "class"]).select("doc_id", "cell", "class", F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part"))
+    large = large.join(parts, ["cell", "class"]).select(*own, "cell", "class", F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part"))
     blocks = parts.select("cell", "class", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     other = blocks.select("cell", F.col("class").alias("class2"), F.col("part").alias("part2"))
     after = (F.col("class2") == F.col("class") + 1) | ((F.col("class2") == F.col("class")) & (F.col("part2") >= F.col("part")))
     pairs = blocks.join(other, "cell").filter(after)
     task = F.concat_ws("/", "cell", "class", "part", "class2", "part2")
     same = (F.col("class2") == F.col("class")) & (F.col("part2") == F.col("part"))
-    seats = pairs.select("cell", "class", "part", task.alias("task"), F.lit(0).alias("side")).union(
+    seats = pairs.select("cell", "class", "part", task.alias("task"), F.when(same, -1).otherwise(0).alias("side")).union(
         pairs.filter(~same).select("cell", F.col("class2"), F.col("part2"), task, F.lit(1))
     )
-    return small.union(large.join(seats, ["cell", "class", "part"]).select("doc_id", "task", "side"))
+    return small.union(large.join(seats, ["cell", "class", "part"]).select(*own, "task", "side"))
 
 
 def jaccard_groups(
-    docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK
+    docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, count: bool = False
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` for each row of ``docs``.
+    """``doc_id``, ``n_shingles``, ``component_id`` for each row of ``docs``, and
+    with ``count`` ``n_links``: how many other documents the row's document links
+    with, where documents are the distinct pairs of id and set, without null ids.
 
     A document's set holds its distinct k-word shingles (A-Z as a-z, words
     parted by white space; fewer words are one shingle; no words, no set, no
@@ -180,8 +197,8 @@ def jaccard_groups(
        chain, are one cell: no link leaves a cell, and a passage that many
        documents share puts none of them in one.
     3. In each cell a signature tree (OR-combined bitmaps and size ranges) is
-       traversed in pairs, pruned by the largest possible overlap and by what is
-       linked already; what is left is compared exactly. Cells over ``block``
+       traversed in pairs, pruned by the largest possible overlap and, without
+       ``count``, by what is linked already; what is left is compared exactly. Cells over ``block``
        shingles are traversed block by block, in many tasks.
     4. The links found span each group; their components are the result.
 
@@ -202,26 +219,38 @@ def jaccard_groups(
 
     # One document of each set meets the others of its cell, if there are others.
     members = cells.join(named, "doc_id").groupBy("cell", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    ids = named.select("doc_id", "d1", "d2").distinct()
+    copies = materialize(ids.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"))) if count else None
+    members = members.join(copies, ["d1", "d2"]) if count else members.withColumn("copies", F.lit(1).cast("long"))
     members = materialize(members)
     shared = members.groupBy("cell").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("cell")
-    tasks = _tasks(members.join(shared, "cell").select("doc_id", "cell", "n"), num, den, block)
-    held = docs.join(tasks, "doc_id").select("task", "doc_id", "side", "text")
+    tasks = _tasks(members.join(shared, "cell").select("doc_id", "cell", "n", "copies", "d1", "d2"), num, den, block)
+    held = docs.join(tasks, "doc_id").select("task", "doc_id", "side", "copies", "d1", "d2", "text")
     held = held.repartition("task").sortWithinPartitions("task", "doc_id")
-    links = held.mapInArrow(_links(k, num, den), "a long, b long")
+    looked = held.mapInArrow(_links(k, num, den, count), "a long, b long, d1 long, d2 long, n long")
+    if count:
+        looked = materialize(looked)
+    links = looked.filter("a is not null").select("a", "b")
 
     # Sets join documents' ids: each id is an edge to its set's smallest id.
     reps = materialize(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
     of_member = members.join(reps, ["d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # Ids that stand for several sets join these.
-    ids = named.select("doc_id", "d1", "d2").distinct()
     several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     of_several = several.join(ids, "doc_id").join(reps, ["d1", "d2"]).select("doc_id", "rep")
     found = connected_components(links.union(of_member).union(of_several)).select(F.col("node").alias("rep"), "component")
     of_set = reps.join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     linked = sets.filter("n > 0").join(of_set, ["d1", "d2"], "left")
-    linked = linked.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    return linked.union(sets.filter("n = 0").select("doc_id", "n", "doc_id"))
+    out = [F.col("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")]
+    if not count:
+        return linked.select(*out).union(sets.filter("n = 0").select("doc_id", "n", "doc_id"))
+    # Copies of the set itself, and what its traversals have counted.
+    others = looked.filter("n is not null").groupBy("d1", "d2").agg(F.sum("n").alias("others"))
+    of_links = copies.join(others, ["d1", "d2"], "left").select("d1", "d2", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    linked = linked.join(of_links, ["d1", "d2"], "left")
+    out.append(F.when(F.col("doc_id").isNotNull(), F.col("n_links")).otherwise(0).alias("n_links"))
+    return linked.select(*out).union(sets.filter("n = 0").select("doc_id", "n", "doc_id", F.lit(0).cast("long")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
+    return jaccard_groups(read(spark, sf_dir, "documents"), k=3, num=9, den=10, count=True)

@@ -55,8 +55,9 @@ class SignatureTree:
         ok[ok] = (den + num) * most >= num * (lo[i] + lo[j])
         return ok
 
-    def leaf_pairs(self, num: int, den: int, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of leaves (i <= j) that the dual traversal cannot rule out."""
+    def leaf_pairs(self, num: int, den: int, forest: Forest | None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of leaves (i <= j) that the dual traversal cannot rule out; without
+        ``forest`` also those whose sets are linked already."""
         i = j = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, 0, -1):
             if level < len(self.levels) - 1:
@@ -66,11 +67,12 @@ class SignatureTree:
                 b = (j[:, None] * FAN + np.tile(np.arange(FAN), FAN)).ravel()
                 ok = (a < n) & (b < n) & (a <= b)
                 i, j = a[ok], b[ok]
-            # Node pairs whose sets are all linked already need no look.
-            at = np.arange(0, len(forest.label), FAN**level)
-            low, high = np.minimum.reduceat(forest.label, at), np.maximum.reduceat(forest.label, at)
-            open_ = (low[i] != high[i]) | (low[j] != high[j]) | (low[i] != low[j])
-            i, j = i[open_], j[open_]
+            if forest is not None:
+                # Node pairs whose sets are all linked already need no look.
+                at = np.arange(0, len(forest.label), FAN**level)
+                low, high = np.minimum.reduceat(forest.label, at), np.maximum.reduceat(forest.label, at)
+                open_ = (low[i] != high[i]) | (low[j] != high[j]) | (low[i] != low[j])
+                i, j = i[open_], j[open_]
             ok = self.possible(level, i, j, num, den)
             i, j = i[ok], j[ok]
         return i, j
@@ -86,11 +88,13 @@ def _overlap(sets: list[np.ndarray], i: int, others: np.ndarray) -> np.ndarray:
     return np.add.reduceat((own[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
 
 
-def linked_pairs(sets: list[np.ndarray], num: int, den: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def linked_pairs(sets: list[np.ndarray], num: int, den: int, side: np.ndarray | None = None, counts: np.ndarray | None = None, weights: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Pairs of sets with den * intersection >= num * union, as many as span the
     groups that all such pairs link: a pair in one group already isn't looked at.
     The sets are sorted, distinct, not empty. ``side``: only pairs of two sides
-    count; others are looked for elsewhere.
+    count; others are looked for elsewhere. With ``counts``, every pair is looked
+    at, once, and each set's ``counts`` grow by the ``weights`` of the sets it
+    links with; the result still spans the groups only.
     """
     n = len(sets)
     if n < 2:
@@ -105,24 +109,32 @@ def linked_pairs(sets: list[np.ndarray], num: int, den: int, side: np.ndarray |
     def look(i: int, others: np.ndarray) -> None:
         if side is not None:
             others = others[side[others] != side[i]]
-        others = others[(forest.label[others] != forest.label[i]) & (den * size[others] >= num * size[i]) & (num * size[others] <= den * size[i])]
+        if counts is None:
+            others = others[forest.label[others] != forest.label[i]]
+        others = others[(den * size[others] >= num * size[i]) & (num * size[others] <= den * size[i])]
         for k in range(0, len(others), 256):
             part = others[k : k + 256]
-            part = part[forest.label[part] != forest.label[i]]
+            if counts is None:
+                part = part[forest.label[part] != forest.label[i]]
             if not len(part):
                 continue
             both = _overlap(sets, i, part)
-            for j in part[(den + num) * both >= num * (size[i] + size[part])].tolist():
+            part = part[(den + num) * both >= num * (size[i] + size[part])]
+            if counts is not None:
+                counts[order[i]] += weights[order[part]].sum()
+                counts[order[part]] += weights[order[i]]
+            for j in part[forest.label[part] != forest.label[i]].tolist():
                 if forest.label[j] != forest.label[i]:
                     forest.merge(i, j)
                     links.append((int(order[i]), int(order[j])))
 
-    for i in range(n - 1):  # neighbours first: most links are theirs
-        look(i, np.array([i + 1]))
-    if n == 2:
-        return links
+    if counts is None:
+        for i in range(n - 1):  # neighbours first: most links are theirs
+            look(i, np.array([i + 1]))
+        if n == 2:
+            return links
     tree = SignatureTree(sets)
-    left, right = tree.leaf_pairs(num, den, forest)
+    left, right = tree.leaf_pairs(num, den, forest if counts is None else None)
     by = np.argsort(left, kind="stable")
     left, right = left[by], right[by]
     bounds = np.searchsorted(left, np.arange((n + FAN - 1) // FAN + 1))
@@ -133,7 +145,9 @@ def linked_pairs(sets: list[np.ndarray], num: int, den: int, side: np.ndarray |
         near = (partners[:, None] * FAN + np.arange(FAN)).ravel()
         near = near[near < n]
         for i in range(leaf * FAN, min(n, leaf * FAN + FAN)):
-            others = near[(near > i) & (forest.label[near] != forest.label[i])]
+            others = near[near > i]
+            if counts is None:
+                others = others[forest.label[others] != forest.label[i]]
             if len(others):
                 look(i, others[tree.possible(0, np.full(len(others), i), others, num, den)])
     return links

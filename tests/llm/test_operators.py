@@ -116,6 +116,21 @@ def test_jaccard_groups(spark, k, num, den, block):
     assert {tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()} == plain_components(rows, k, num, den)
 
 
+@pytest.mark.parametrize("block", [ngram_jaccard.BLOCK, 500])
+def test_jaccard_counts_every_link(spark, block):
+    rows = edited_texts(7, 120)
+    rows += [(200, rows[3][1]), (201, rows[3][1]), (202, None), (203, rows[5][1]), (5, rows[5][1])]
+    sets = {}
+    for d, t in rows:
+        w = words_of((t or "").lower())
+        sets[d] = {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+    want = {d: sum(d != e and len(s & o) * 5 >= 4 * len(s | o) > 0 for e, o in sets.items()) for d, s in sets.items()}
+    got = ngram_jaccard.jaccard_groups(spark.createDataFrame([*rows, (None, rows[3][1])], "doc_id long, text string").repartition(3), 3, 4, 5, block=block, count=True).collect()
+    assert len(got) == len(rows) + 1
+    assert {r.doc_id: r.n_links for r in got} == want | {None: 0}
+    assert sum(want.values()) // 2 > len(want) - len({r.component_id for r in got})  # more than a forest
+
+
 def test_jaccard_of_given_documents(small):
     rows = [(r.doc_id, r.text) for r in small.select("doc_id", "text").collect()]
     got = {tuple(r) for r in ngram_jaccard.jaccard_groups(small, 3, 9, 10).select("doc_id", "n_shingles", "component_id").collect()}

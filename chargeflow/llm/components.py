@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialize
+from .tables import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbours to its smallest neighbour, then its smaller ones and itself to
     the smallest. The number of edges never grows and paths halve, so a round
     costs a few shuffles of edges and few rounds are needed. Rounds are
-    written tables: nothing is held in executors, nothing comes to the driver.
+    written tables, each deleted when the next is there: nothing is held in
+    executors, nothing comes to the driver.
     """
     e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
     seen = None
@@ -30,4 +31,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.union(least.select("u", "m")).distinct())
+        last, e = e, materialize(small.union(least.select("u", "m")).distinct())
+        discard(last)

@@ -15,10 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share. Where
-    the setting is absent, as in tests, a new local folder is set once."""
+    the setting is absent, a new local folder is set once, which only a local
+    session may use: elsewhere each machine would write to its own disk."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 
@@ -27,7 +31,16 @@ def materialize(df: DataFrame) -> DataFrame:
     lineage, and what follows survives the loss of any executor."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes the files of a table that ``materialize`` has written and that nothing will read again."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

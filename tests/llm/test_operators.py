@@ -1,15 +1,19 @@
 """The text operators against plain versions, and what they do with odd rows."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chargeflow.llm import chat, exact_dedup, fingerprints, language_id, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, substring_dedup
+from chargeflow.llm import chat, components, exact_dedup, fingerprints, language_id, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, signature_tree, substring_dedup, tables
 from chargeflow.llm.pieces import Pieces
 
 SMALL = "/root/testdata/sf0.001"
@@ -146,18 +150,98 @@ def test_jaccard_of_odd_rows(odd, empty):
     assert ngram_jaccard.jaccard_groups(empty).count() == 0
 
 
-def test_signatures_of_linked_sets_meet():
+def random_linked(rng):
+    """Two sets that differ in up to an eighth of their shingles."""
+    n = int(rng.integers(1, 400))
+    a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+    b = a.copy()
+    for _ in range(int(rng.integers(0, max(1, len(a) // 8) + 1))):
+        b[rng.integers(0, len(b))] = rng.integers(0, 2**63)
+    return a, np.unique(b)
+
+
+def test_keys_of_linked_sets_meet():
     rng = np.random.default_rng(5)
+    levels = rng.integers(0, 9, ngram_jaccard.COUNTERS).astype(np.uint8)
     for _ in range(300):
-        n = int(rng.integers(1, 400))
-        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
-        b = a.copy()
-        for _ in range(int(rng.integers(0, max(1, len(a) // 8) + 1))):
-            b[rng.integers(0, len(b))] = rng.integers(0, 2**63)
-        b = np.unique(b)
+        a, b = random_linked(rng)
         both = len(np.intersect1d(a, b))
         if both * 5 >= 4 * (len(a) + len(b) - both):
-            assert len(np.intersect1d(ngram_jaccard.signatures(a, 4, 5), ngram_jaccard.signatures(b, 4, 5)))
+            assert len(np.intersect1d(ngram_jaccard.prefix(a, levels, 4, 5), ngram_jaccard.prefix(b, levels, 4, 5)))
+
+
+def grown_sets(seed, n):
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(n):
+        if sets and rng.random() < 0.6:
+            s = sets[rng.integers(0, len(sets))].copy()
+            for _ in range(rng.integers(0, 1 + len(s) // 6)):
+                s[rng.integers(0, len(s))] = rng.integers(0, 2**62)
+        else:
+            s = rng.integers(0, 2**62, rng.choice([1, 2, 5, 20, 90, 300])).astype(np.uint64)
+        sets.append(np.unique(s.astype(np.uint64)))
+    return sets
+
+
+@pytest.mark.parametrize("num,den", [(4, 5), (9, 10), (1, 3)])
+def test_signature_trees_find_every_link(num, den):
+    sets = grown_sets(num, 250)
+    weights, sides = np.arange(1, 251), np.arange(250) % 2
+    both = np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in sets] for a in sets])
+    size = np.array([len(s) for s in sets])
+    linked = (den + num) * both >= num * (size[:, None] + size)
+    np.fill_diagonal(linked, False)
+    for side in (None, sides):
+        want = linked & (sides[:, None] != sides) if side is not None else linked
+        counts = np.zeros(250, np.int64)
+        pairs = signature_tree.linked_pairs(sets, num, den, side, counts, weights)
+        assert (counts == want @ weights).all()
+        for got in (pairs, signature_tree.linked_pairs(sets, num, den, side)):
+            assert all(want[i, j] for i, j in got)
+            forest = signature_tree.Forest(250)
+            for i, j in got:
+                forest.merge(i, j)
+            assert all(forest.find(i) == forest.find(j) for i, j in np.argwhere(want))
+        forest = signature_tree.Forest(250)
+        for i, j in signature_tree.possible_links([signature_tree.bitmap(s) for s in sets], size, num, den, side):
+            forest.merge(i, j)
+        assert all(forest.find(i) == forest.find(j) for i, j in np.argwhere(want))
+
+
+def test_dense_and_single_overlaps_agree():
+    rng = np.random.default_rng(1)
+    base = np.unique(rng.integers(0, 2**62, 40_000).astype(np.uint64))
+    sets = [np.sort(rng.choice(base, 30_000 if k < 3 else 500, replace=False)) for k in range(90)]
+    i, j = np.triu_indices(90, 1)
+    assert (signature_tree.overlaps(sets, i, j) == [len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)]).all()
+
+
+def test_tables_need_a_shared_folder():
+    unset = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"), conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError):
+        tables.shared_dir(unset)
+
+
+def test_components_of_chains_and_hubs(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(7, 7), (None, 3), (300, 299)]
+    got = {tuple(r) for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(i, 0) for i in range(41)} | {(i, 100) for i in range(100, 150)} | {(299, 299), (300, 299)}
+
+
+def test_one_large_set_among_many_small_ones_takes_little_memory():
+    code = """
+import resource, numpy as np
+from chargeflow.llm.signature_tree import linked_pairs
+rng = np.random.default_rng(0)
+sets = [np.unique(rng.integers(0, 2**62, 10).astype(np.uint64)) for _ in range(100_000)] + [np.unique(rng.integers(0, 2**62, 5000).astype(np.uint64))]
+sets.append(sets[7].copy())
+assert linked_pairs(sets, 4, 5) == [(7, 100_001)]
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=150, cwd=root, check=True)
+    assert int(done.stdout) < 1000
 
 
 def plain_targets(sizes, weights=(5, 2, 1)):

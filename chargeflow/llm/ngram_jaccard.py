@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .signature_tree import bitmap, linked_pairs, possible_links
+from .signature_tree import bitmap, folded, linked_pairs, possible_links
 from .tables import materialize, read
 from .words import shingle_sets
 
 #: Shingles of the sets that one traversal holds: 32 MB.
 BLOCK = 4_000_000
 #: Counters of shingles' frequencies, and the rows in which a task hands them on.
-COUNTERS, SLICES = 1 << 20, 16
+COUNTERS, SLICES = 1 << 22, 16
 
 _A = np.uint64(0x9FB21C651E98DF25)
 
@@ -58,27 +59,26 @@ def _sized(k: int):
         if total.any():
             parts = np.minimum(total, 255).astype(np.uint8).reshape(SLICES, -1)
             none = pa.nulls(SLICES, pa.int64())
-            yield pa.record_batch([none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=names)
+            yield pa.record_batch([none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=names)
 
     return run
 
 
 def _levels(counted: DataFrame) -> np.ndarray:
     """Of each counter how frequent its shingles are in the corpus: twice the binary
-    logarithm of its count over the mean. A megabyte, whatever the corpus."""
+    logarithm of its count over the mean. Four megabytes, whatever the corpus."""
+    mean = max(1.0, (counted.agg(F.sum("n")).first()[0] or 0) / COUNTERS)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                total[k] = total.get(k, 0) + np.frombuffer(c, np.uint8).astype(np.int64)
-        yield pa.record_batch([pa.array(list(total), pa.int32()), pa.array([c.tobytes() for c in total.values()], pa.binary())], names=["slice", "counts"])
+                total[k] = total.get(k, 0) + np.frombuffer(zlib.decompress(c), np.uint8).astype(np.int64)
+        levels = [np.floor(2 * np.log2(np.maximum(1, c / mean))).astype(np.uint8).tobytes() for c in total.values()]
+        yield pa.record_batch([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], names=["slice", "levels"])
 
-    rows = counted.filter("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary").collect()
-    if not rows:
-        return np.zeros(COUNTERS, np.uint8)
-    count = np.concatenate([np.frombuffer(r.counts, np.int64) for r in sorted(rows)])
-    return np.floor(2 * np.log2(np.maximum(1, count / max(1, count.mean())))).astype(np.uint8)
+    rows = counted.filter("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(add, "slice int, levels binary").collect()
+    return np.frombuffer(b"".join(r.levels for r in sorted(rows)), np.uint8) if rows else np.zeros(COUNTERS, np.uint8)
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -111,7 +111,8 @@ def _keyed(k: int, num: int, den: int, held):
                 if not len(s) or (d := _digest(s)) in seen:
                     continue
                 seen.add(d)
-                rows.append((doc, *d, len(s), bitmap(s).tobytes()))
+                bits = folded(bitmap(s)[None], max(64, 1 << (len(s) - 1).bit_length()) // 64)
+                rows.append((doc, *d, len(s), bits.tobytes()))
                 flat.append(prefix(s, levels, num, den))
                 ends.append(ends[-1] + len(flat[-1]))
             keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat).view(np.int64)))
@@ -146,8 +147,8 @@ def _possible(num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of(b):
-            for task, rep, side, d1, d2, n, bits in zip(*(c.to_pylist() for c in b.columns)):
-                yield task, (d1, d2), (rep, side, n, bits)
+            for task, rep, side, n, bits in zip(*(c.to_pylist() for c in b.columns)):
+                yield task, (rep, n, bits), (rep, side, n, bits)
 
         for held in _traversals(batches, rows_of):
             rows = list(held.values())
@@ -211,20 +212,27 @@ def _cells(docs: DataFrame, reps: DataFrame, levels: np.ndarray, k: int, num: in
     their sizes and bitmaps tell. Sets without a partner are in no cell."""
     held = docs.sparkSession.sparkContext.broadcast(levels)
     keyed = materialize(docs.filter("doc_id is not null").mapInArrow(_keyed(k, num, den, held), "doc_id long, d1 long, d2 long, n long, bits binary, keys array<long>"))
-    keys = keyed.select("doc_id", F.explode("keys").alias("key"))
-    several = keys.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("rows > 1").select("key", "doc_id")
+    # Of a key's sets, in order of size, only those need a look that have one beside
+    # them within the ratio; a wider step parts the group.
+    by_size = Window.partitionBy("key").orderBy("n")
+    near = lambda a, b: F.coalesce(F.col(b) * den >= F.col(a) * num, F.lit(False))
+    keys = keyed.select("doc_id", "n", F.explode("keys").alias("key"))
+    beside = keys.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+    step = F.sum(F.when(near("n", "below"), 0).otherwise(1)).over(by_size.rowsBetween(Window.unboundedPreceding, 0))
+    several = beside.withColumn("step", step).filter(near("n", "below") | near("above", "n")).select("key", "step", "doc_id")
     sets = keyed.select("doc_id", "d1", "d2").distinct()
-    groups = materialize(several.join(sets, "doc_id").select("key", "d1", "d2").distinct())
-    # Keys with the same sets say the same: the smallest of them stands for all.
+    groups = several.select(F.concat_ws("/", "key", "step").alias("cell"), "doc_id").join(sets, "doc_id").select("cell", "d1", "d2").distinct()
+    groups = materialize(groups)
+    # Groups of the same sets say the same: one of them stands for all.
     member = F.xxhash64("d1", "d2")
-    alike = groups.groupBy("key").agg(F.count(F.lit(1)).alias("sets"), F.sum(member % (1 << 31)).alias("s1"), F.bit_xor(member).alias("s2")).filter("sets > 1")
-    stand = alike.groupBy("sets", "s1", "s2").agg(F.min("key").alias("key")).select("key")
-    cells = groups.join(stand, "key").join(reps, ["d1", "d2"]).select(F.col("key").alias("cell"), "rep", "d1", "d2", "n", F.lit(1).cast("long").alias("copies"))
+    alike = groups.groupBy("cell").agg(F.count(F.lit(1)).alias("sets"), F.sum(member % (1 << 31)).alias("s1"), F.bit_xor(member).alias("s2")).filter("sets > 1")
+    stand = alike.groupBy("sets", "s1", "s2").agg(F.min("cell").alias("cell")).select("cell")
+    cells = groups.join(stand, "cell").join(reps, ["d1", "d2"]).select("cell", "rep", "d1", "d2", "n", F.lit(1).cast("long").alias("copies"))
     tasks = _tasks(materialize(cells), num, den, block)
     # Equal sets have equal bitmaps: any will do.
     bits = keyed.select("d1", "d2", "bits").join(reps, ["d1", "d2"], "left_semi").groupBy("d1", "d2").agg(F.min("bits").alias("bits"))
-    seated = tasks.join(bits, ["d1", "d2"]).select("task", "rep", "side", "d1", "d2", "n", "bits")
-    seated = seated.repartition("task").sortWithinPartitions("task", "rep", "d1", "d2")
+    seated = tasks.join(bits, ["d1", "d2"]).select("task", "rep", "side", "n", "bits")
+    seated = seated.repartition("task").sortWithinPartitions("task", "rep")
     edges = seated.mapInArrow(_possible(num, den), "a long, b long")
     return connected_components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cell"))
 

@@ -24,6 +24,11 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(has, bitorder="little").view(np.uint64)
 
 
+def folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows) at a narrower width: tokens' digits modulo that width."""
+    return np.bitwise_or.reduce(maps.reshape(len(maps), -1, words), axis=1)
+
+
 class Forest:
     """Which sets are already linked."""
 
@@ -73,7 +78,7 @@ class SignatureTree:
         maps, size = self.levels[0][:2]
         if maps.shape[1] == words:
             return self
-        return SignatureTree(np.bitwise_or.reduce(maps.reshape(len(maps), -1, words), axis=1), size, self.at)
+        return SignatureTree(folded(maps, words), size, self.at)
 
 
 def _height(n: int) -> int:
@@ -151,8 +156,9 @@ def possible_pairs(maps: list[np.ndarray], size: np.ndarray, num: int, den: int,
     for w in np.unique(words):
         at = np.flatnonzero(words == w)
         m = np.stack([maps[k] for k in at])
-        # Similar sets share their lowest bits: these come first in the order.
-        order = np.lexsort((size[at], m[:, 0].byteswap()))
+        # Neighbours are of like size and share their lowest bits.
+        class_ = np.floor(2 * np.log(size[at]) / np.log(max(1.01, den / num)))
+        order = np.lexsort((size[at], m[:, 0].byteswap(), class_))
         trees.append(SignatureTree(m[order], size[at][order], at[order]))
     for k, one in enumerate(trees):
         if len(one.at) > 1:

@@ -8,15 +8,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import materialize, read
+from .tables import read
 
 #: A unit of at least so many words is compared by itself, a shorter one joined with those beside it.
 MIN_WORDS = 8
 #: A unit is what lies between two line ends, or two ends of sentences with white space after them.
-UNIT_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|[\x20\x09-\x0D]*[\n\r][\x20\x09-\x0D]*")
+#: A run of white space is tried from its first character only.
+UNIT_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|(?<![\x20\x09-\x0D])[\x20\x09-\x0D]*[\n\r][\x20\x09-\x0D]*")
 _FOLD = re.compile(r"[\W_]+")
 
 
@@ -66,45 +67,64 @@ def keys(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, str]]:
     return [(spans[i][0], spans[j][1], "\n".join(f for _, _, f in spans[i : j + 1])) for i, j in sorted(found)]
 
 
+def _repeats(doc: np.ndarray, row: np.ndarray, start: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which stretches come after another of the same digest, by (doc, row, start)."""
+    order = np.lexsort((start, row, doc, h[:, 1], h[:, 0]))
+    again = np.zeros(len(h), bool)
+    d, r, s, x = doc[order], row[order], start[order], h[order]
+    new = np.concatenate([[True], (x[1:] != x[:-1]).any(1)])
+    least = np.flatnonzero(new)[np.cumsum(new) - 1]
+    again[order] = (d != d[least]) | (r != r[least]) | (s != s[least])
+    return again
+
+
 def _units_of(min_words: int):
-    names = ["doc_id", "row", "start", "end", "h1", "h2"]
+    names = ["doc", "row", "start", "end", "h1", "h2", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            count, start, end, digest = [], [], [], []
             for at in range(0, len(b), 500):
-                part = b.slice(at, 500)
-                doc, row, start, end, digest = [], [], [], [], []
-                for d, r, text in zip(*(c.to_pylist() for c in part.columns)):
-                    for a, z, key in keys(text or "", min_words):
-                        doc.append(d)
-                        row.append(r)
+                for text in b.column(2).slice(at, 500).to_pylist():
+                    found = keys(text or "", min_words)
+                    count.append(len(found))
+                    for a, z, key in found:
                         start.append(a)
                         end.append(z)
                         digest.append(xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass")))
-                h = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-                yield pa.record_batch([pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], names=names)
+            if not digest:
+                continue
+            doc, row = (np.repeat(b.column(i).to_numpy(), count) for i in (0, 1))
+            start, h = np.array(start, np.int32), np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2).copy()
+            again = _repeats(doc, row, start, h)
+            # What the batch itself shows as repeats need not meet the others: any key will do that no digest has.
+            h[again, 0], h[again, 1] = row[again], start[again]
+            yield pa.record_batch([pa.array(x) for x in (doc, row, start, np.array(end, np.int32), h[:, 0], h[:, 1], again)], names=names)
 
     return run
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc``, the rank of an id, null ids last; ``row``, which tells texts of one rank apart."""
+    id_ = F.col(id_col).cast("long")
+    row = F.xxhash64(F.col(text_col).cast("string"), id_.isNull())
+    return docs.select(id_.alias("doc_id"), F.coalesce(id_, F.lit(2**63 - 1)).alias("doc"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
+
+
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id``, ``row`` (a hash that tells rows of one id apart), ``start``,
-    ``end`` of every stretch (see ``keys``) that occurs before, in code points of
-    the original; stretches overlap.
-
-    They go by the rank (doc_id, row, start), null ids last; the first of each
-    digest stays, unless it is part of another that occurs before. The first is
-    found by partial aggregation, so a line that half of all documents have is a
-    row a task; the stretches meet it in a join whose large keys adaptive
-    execution splits. Equal rows repeat wholly: their stretches have equal ranks
-    and all stay, as they are one document.
+    """``doc``, ``row`` (see ``_rows``), ``start``, ``end`` of every stretch (see ``keys``)
+    that occurs before, in code points of the original; stretches overlap.
+
+    They go by the rank (doc, row, start); the first of each digest stays, unless
+    it is part of another that occurs before. Of the stretches of an Arrow batch
+    only the first of each digest meet those of other batches, in one shuffle: so
+    a line that half of all documents have is a row a batch there. Equal rows have
+    equal ranks here; ``remove_repeats`` tells them apart.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).cast("string").alias("text"))
-    found = rows.mapInArrow(_units_of(min_words), "doc_id long, row long, start int, end int, h1 long, h2 long")
-    found = materialize(found)
-    rank = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), "row", "start")
-    first = found.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2", "first")
-    return found.join(first, ["h1", "h2"]).filter(rank != F.col("first")).select("doc_id", "row", "start", "end")
+    found = _rows(docs, id_col, text_col).select("doc", "row", "text").mapInArrow(_units_of(min_words), "doc long, row long, start int, end int, h1 long, h2 long, again boolean")
+    rank = F.struct("doc", "row", "start")
+    first = F.min(rank).over(Window.partitionBy("h1", "h2"))
+    return found.withColumn("first", first).filter(F.col("again") | (rank != F.col("first"))).select("doc", "row", "start", "end")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -114,19 +134,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``clean_text``.
 
     Null and empty texts have no units and stay as they are, as do texts without
-    repeats. Null and repeated ids are told apart by their text. Other columns
-    are ignored.
+    repeats. Of rows that repeat both id (null ids too) and text, one counts as
+    the first; the others repeat it and lose all their stretches. Rows that
+    repeat an id with other texts are documents of their own. Other columns are
+    ignored.
     """
     gone = repeated_units(docs, id_col, text_col, min_words)
-    gone = gone.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("gone"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).cast("string").alias("text"))
-    both = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["row"] == gone["row"]), "left").select(rows["doc_id"], "text", "gone")
+    gone = gone.groupBy("doc", "row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("gone"))
+    # The window and the join part the texts alike: one shuffle.
+    copy = F.row_number().over(Window.partitionBy("doc", "row").orderBy("doc", "row")) > 1
+    both = _rows(docs, id_col, text_col).withColumn("copy", copy).join(gone, ["doc", "row"], "left").select("doc_id", "text", "gone", "copy")
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             count, spans, chars, texts = [], [], [], []
-            for text, units_ in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for text, units_, copy in zip(*(c.to_pylist() for c in b.columns[1:])):
+                if copy:
+                    units_ = sorted(({"start": a, "end": z} for a, z, _ in keys(text or "", min_words)), key=lambda u: (u["start"], u["end"]))
                 joined: list[dict] = []
                 for u in units_ or []:
                     if joined and not text[joined[-1]["end"] : u["start"]].strip():

@@ -6,6 +6,7 @@ import random
 import re
 import subprocess
 import sys
+import time
 from collections import Counter, defaultdict
 from types import SimpleNamespace
 
@@ -357,15 +358,71 @@ def test_substring_dedup_covers_every_repeated_passage():
         assert all(any(a <= i < b for a, b in spans) for i in range(len(here), len(text)) if text[i].isalpha())
 
 
-def test_substring_dedup_keeps_one_of_each_unit(small):
-    got = {r.doc_id: r for r in substring_dedup.remove_repeats(small).collect()}
-    before, after = Counter(), Counter()
-    for r in small.select("doc_id", "text").collect():
-        for start, end, key in substring_dedup.keys(r.text or ""):
-            if key:
-                before[key] += 1
-                after[key] += not any(s.start <= start and end <= s.end for s in got[r.doc_id].removed or [])
-    assert set(after) == set(before) and max(after.values()) == 1
+def plain_units(text):
+    """Units by a scan of characters: (start, end, folded words)."""
+    ws, out, at, i = " \t\n\v\f\r", [], 0, 0
+    while i <= len(text):
+        j = i
+        while j < len(text) and text[j] in ws:
+            j += 1
+        if i == len(text) or (j > i and (set(text[i:j]) & set("\n\r") or (i and text[i - 1] in ".!?"))):
+            if i > at:
+                out.append((at, i, re.sub(r"[\W_]+", " ", text[at:i].lower()).split()))
+            at = j
+        if i == len(text):
+            break
+        i = max(j, i + 1)
+    return [(a, b, w) for a, b, w in out if w]
+
+
+def plain_removed(rows, least=8):
+    """Removed characters of each row, by comparing every stretch with all ranked
+    before it; a stretch is a shortest run of units of ``least`` words."""
+    stretches = []
+    for r, (d, text) in enumerate(rows):
+        u = plain_units(text or "")
+        n = [len(w) for *_, w in u]
+        if sum(n) < least:
+            spans = {(0, len(u) - 1)} if u else set()
+        else:
+            spans = {(i, j) for i in range(len(u)) for j in range(i, len(u)) if sum(n[i : j + 1]) >= least and (sum(n[i:j]) < least or sum(n[i + 1 : j + 1]) < least)}
+        whole = sum(n) < least
+        for i, j in spans:
+            stretches.append((d is None, d or 0, r, u[i][0], u[j][1], (whole, tuple(tuple(w) for *_, w in u[i : j + 1]))))
+    removed = defaultdict(set)
+    for s in stretches:
+        if any(o[5] == s[5] and (o[0], o[1], o[2], o[3]) < (s[0], s[1], s[2], s[3]) for o in stretches):
+            removed[s[2]] |= set(range(s[3], s[4]))
+    return removed
+
+
+def test_substring_dedup_against_comparing_all(spark):
+    rng = random.Random(9)
+    unit = lambda: " ".join(rng.choices(["ab", "Cd", "e-f", "gh", "1"], k=rng.choice([1, 2, 3, 9, 12]))) + rng.choice([". ", "!\n", "  \r\n", "? ", ".\n---\n", ", "])
+    pool = [unit() for _ in range(25)]
+    rows = [(i, "".join(rng.choice(pool) if rng.random() < 0.7 else unit() for _ in range(rng.randint(0, 9)))) for i in range(60)]
+    rows += [(70, rows[4][1] + rows[9][1]), (71, ""), (72, " \n "), (73, "Hi. Ho."), (74, "hi ho!"), (75, "Hi.\tHO")]
+    want = plain_removed(rows)
+    got = {r.doc_id: r for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for k, (d, text) in enumerate(rows):
+        have = {i for s in got[d].removed for i in range(s.start, s.end)}
+        blank = lambda chars: {i for i in chars if not text[i].isspace()}
+        assert blank(have) == blank(want[k])
+        assert got[d].clean_text == "".join(c for i, c in enumerate(text) if i not in have)
+
+
+def test_substring_dedup_keeps_the_first_of_equal_rows(spark):
+    t, u = "one line of quite enough words to count as a unit", "another line of quite enough words to count as one"
+    rows = [(1, t), (1, t), (None, u), (None, u), (2, "own words that are in no other row of this table")]
+    got = Counter((r.doc_id, r.clean_text) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter({(1, t): 1, (1, ""): 1, (None, u): 1, (None, ""): 1, rows[4]: 1})
+
+
+def test_substring_dedup_of_a_megabyte_of_blanks(spark):
+    began = time.time()
+    text = "a first line here." + " " * (1 << 20) + "x" + " \n" * (1 << 19) + "end"
+    got = substring_dedup.remove_repeats(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got.clean_text == text and time.time() - began < 30
 
 
 def test_substring_dedup_of_odd_rows(odd):

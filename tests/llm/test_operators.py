@@ -245,10 +245,10 @@ print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
     assert int(done.stdout) < 1000
 
 
-def plain_targets(sizes, weights=(5, 2, 1)):
+def plain_targets(sizes, weights=(5, 2, 1), share=1.0):
     names = sorted((s for s in sizes if s is not None), key=str) + [s for s in sizes if s is None]
     w = {s: weights[i % 3] for i, s in enumerate(names)}
-    target, free, left = {}, set(names), float(sum(sizes.values()))
+    target, free, left = {}, set(names), share * float(sum(sizes.values()))
     while free:
         level = left / sum(w[s] for s in free)
         over = {s for s in free if level * w[s] > 3 * sizes[s]}
@@ -289,9 +289,34 @@ def test_mix_of_odd_rows(odd, empty):
     assert mixing.mix(empty).count() == 0
 
 
-def test_newton_dual(spark):
-    rate = spark.range(1).select(F.exp(mixing.newton_dual(F.lit(1234.0), F.lit(77.0)))).first()[0]
-    assert rate == pytest.approx(77 / 1234)
+def test_rates_are_the_entropy_balance(spark):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.choice([1, 2, 7, 30, 200]), "en", rng.choice(["a", "a", "a", "b", "c", "d"])) for i in range(400)]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    for source in "abcd":
+        mine = [r for r in got if r.source == source]
+        target, size = mine[0].target, np.array([r["size"] for r in mine], float)
+        # The tilt by bisection, apart from the operator.
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if (size * np.minimum(3, np.exp(mid * size / size.max()))).sum() < target else (low, mid)
+        want = np.minimum(3, np.exp(low * size / size.max()))
+        assert [r.rate for r in mine] == pytest.approx(want.tolist(), abs=2e-3)
+        assert sum(r.rate * r["size"] for r in mine) == pytest.approx(target, abs=1)
+        # A group of equal sizes gets its rate, rounded; the smallest sizes make up for the rest.
+        group = [r for r in mine if r["size"] == 200]
+        assert abs(sum(r.copies - r.rate for r in group)) <= 1 and max(r.copies for r in group) - min(r.copies for r in group) <= 1
+
+
+def test_ranks_and_levels_of_many_sources(spark):
+    rng = random.Random(2)
+    sizes = {f"s{rng.random()}": rng.choice([0, 1, 5, 100, 10_000]) for _ in range(300)} | {None: 40, "": 9}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(7)
+    for share in (1.0, 0.5):
+        got = {r.source: r.target for r in mixing.water_filled(frame, (5, 2, 1), share, 3.0).collect()}
+        want = plain_targets(sizes, share=share)
+        assert set(got) == set(want) and all(got[s] == pytest.approx(want[s], abs=1e-6) for s in want)
 
 
 def test_sentence_pieces_in_chunks_are_as_good_as_whole(spark, small):

@@ -18,8 +18,18 @@ def to_double(c: Column) -> Column:
 
 
 def clock(c: Column) -> Column:
-    """A wall-clock time as microseconds, for differences."""
-    return F.unix_micros(c.cast("timestamp"))
+    """A wall-clock time as microseconds, for differences: each day has 24 hours,
+    whatever the session's time zone."""
+    t = c.cast("timestamp_ntz")
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    micros = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long")
+    return ((days * 24 + F.hour(t)) * 60 + F.minute(t)) * 60_000_000 + micros
+
+
+def wall(micros: Column) -> Column:
+    """The wall-clock time of ``clock``."""
+    seconds = (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
@@ -138,8 +148,11 @@ def align_features(df: DataFrame, features: Sequence[str], missing: float | None
 # Columns that are no features.
 ALWAYS_DROPPED = (
     "timestamp_local", "session_id", "t_start", "t_end", "vehicle", "fail_reason", "speed", "idle", "slave_power_kw",
-    "vehicle_id", "yyyymm", "session_key",
 )
+#: This library's own keys.
+OWN_KEYS = ("vehicle_id", "yyyymm", "session_key")
+# Words that no feature's name may hold.
+GUARDED = ("energy", "efficiency")
 ENERGY_NAMES = (
     "estimated_energy_stored_kwh", "efficiency_pct", "charging_efficiency_pct", "charger_energy_kwh", "session_energy_in_kwh",
     "pack_energy_in_kwh", "dc_energy_in_kwh", "ac_energy_in_kwh", "energy_in_kwh", "energy_stored_kwh_estimate", "inferred_efficiency",
@@ -148,7 +161,18 @@ ENERGY_NAMES = (
 ENERGY_PATTERN = re.compile(r"(efficien|energy[_\-]stored|charger[_\-]?energy|energy[_\-]?loss|loss[_\-]?kwh)", re.I)
 
 
-def drop_forbidden(df: DataFrame, names: Sequence[str] = ALWAYS_DROPPED) -> DataFrame:
+def guarded(features: Sequence[str]) -> list[str]:
+    """The features without ids and without any whose name speaks of energy or
+    efficiency: the last guard before training."""
+    return [f for f in features if f not in {*ALWAYS_DROPPED[:2], "vehicle", *OWN_KEYS} and not any(w in f for w in GUARDED)]
+
+
+def soc_current_slice(rows: DataFrame, soc: tuple[float, float] = (20, 80), amps: tuple[float, float] = (10, 15)) -> DataFrame:
+    """Rows within a range of charge and one of |A|, ends included."""
+    return rows.filter(F.col("soc").between(*soc) & F.abs("current").between(*amps))
+
+
+def drop_forbidden(df: DataFrame, names: Sequence[str] = (*ALWAYS_DROPPED, *OWN_KEYS)) -> DataFrame:
     """Without ids, operating columns and whatever tells of energy or efficiency."""
     gone = {*names, *ENERGY_NAMES}
     return df.drop(*[c for c in df.columns if c in gone or ENERGY_PATTERN.search(c)])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..settings import DEFAULTS
+from .columns import clock, wall
 
 # The accepted forms.
 LOCALE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s{1,2}(\d{1,2}):(\d{2})(?::(\d{2}))?\s*(AM|PM|am|pm)?\s*$"
@@ -79,8 +80,7 @@ def parse_local(rows: DataFrame, text: str, month: str, keys: Sequence[str], ord
     plain = plain.withColumn("_run", F.sum(F.col("_fresh").cast("int")).over(upto))
     in_run = Window.partitionBy(*keys, "_run").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     held = F.max(F.when(F.col("_kind") == "number", F.col("_sec"))).over(in_run)
-    micros = F.unix_micros(F.col("_start").cast("timestamp")) + F.round(F.col("_held") * 1e6).cast("long")
-    counted = F.timestamp_micros(micros).cast("timestamp_ntz")
+    counted = wall(clock(F.col("_start")) + F.round(F.col("_held") * 1e6).cast("long"))
     plain = plain.withColumn("_held", held).withColumn("_anchor", F.when(F.col("_kind") == "abs", F.col("_abs")).when(F.col("_kind") == "number", counted))
     # Clock values: the date of the last anchor, and a day for each time that the clock went back since.
     clock_now = F.coalesce("_tod", F.hour("_anchor") * 3600 + F.minute("_anchor") * 60 + F.second("_anchor"))
@@ -89,8 +89,8 @@ def parse_local(rows: DataFrame, text: str, month: str, keys: Sequence[str], ord
     since = Window.partitionBy(*keys, "_part").orderBy(*order)
     back = (F.col("_kind") == "clock") & (F.col("_tod") < F.coalesce(F.last("_now", True).over(since.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     plain = plain.withColumn("_days", F.sum(F.coalesce(back, F.lit(False)).cast("int")).over(since.rowsBetween(Window.unboundedPreceding, 0)))
-    midnight = F.unix_micros(F.col("_from").cast("date").cast("timestamp"))
-    clocked = F.timestamp_micros(midnight + (F.col("_days") * 86400 + F.col("_tod")).cast("long") * 1_000_000).cast("timestamp_ntz")
+    midnight = clock(F.col("_from").cast("date"))
+    clocked = wall(midnight + (F.col("_days") * 86400 + F.col("_tod")).cast("long") * 1_000_000)
     names = [c for c in rows.columns if not c.startswith("_")]
     plain = plain.select(*names, F.when(F.col("_kind") == "clock", clocked).otherwise(F.col("_anchor")).alias("ts_local"))
 

@@ -9,7 +9,8 @@ from ..settings import DEFAULTS, KEYS, LAST_FIELDS, MEAN_FIELDS, Settings
 
 
 def minute_of(ts: str = "ts_local"):
-    return F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz")
+    """The wall clock cut to its minute, whatever the session's time zone."""
+    return F.col(ts) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.extract(F.lit("SECOND"), F.col(ts)))
 
 
 def curate_minute(aligned: DataFrame) -> DataFrame:

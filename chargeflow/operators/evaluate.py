@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import soc_band_right
+from ..functions.quantiles import quantiles
+from ..storage import written
 
 
 def metric_columns(label: str = "rct_minutes", prediction: str = "prediction") -> list[Column]:
@@ -14,8 +16,6 @@ def metric_columns(label: str = "rct_minutes", prediction: str = "prediction") -
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(error).alias("mae"),
         (F.avg(F.when(F.col(label) >= 1, error / F.col(label))) * 100).alias("mape"),
-        F.percentile(error, F.lit(0.9)).alias("p90"),
-        F.median(prediction).alias("median_prediction"),
         F.count(F.lit(1)).alias("n"),
     ]
 
@@ -25,8 +25,20 @@ def _known(rows: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def regression_metrics(rows: DataFrame, by: list[str] | None = None, label: str = "rct_minutes", prediction: str = "prediction") -> DataFrame:
-    """Errors of each group of ``by`` (of all rows without); MAPE over labels of a minute and more."""
-    return _known(rows, label, prediction).groupBy(*(by or [])).agg(*metric_columns(label, prediction))
+    """Errors of each group of ``by`` (of all rows without), null keys apart; MAPE
+    over labels of a minute and more. ``p90`` and the median come from counts of
+    equal values (see ``quantiles``), so that no group is sorted in one buffer."""
+    by = by or []
+    known = written(_known(rows, label, prediction).select(*by, label, prediction))  # read three times
+    out = known.groupBy(*by).agg(*metric_columns(label, prediction))
+    error = F.abs(F.col(label) - F.col(prediction))
+    for name, value, share in (("p90", error, 0.9), ("median_prediction", F.col(prediction), 0.5)):
+        one = quantiles(known, value, [share], by).select(*[F.col(k).alias(f"_{k}") for k in by], F.col("quantiles")[0].alias(name))
+        on = F.lit(True)
+        for k in by:
+            on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        out = out.join(one, on, "left").select(*out.columns, name)
+    return out.select(*by, "rmse", "mae", "mape", "p90", "median_prediction", "n")
 
 
 def metrics_by_soc_band(rows: DataFrame, label: str = "rct_minutes", prediction: str = "prediction") -> DataFrame:
@@ -38,8 +50,8 @@ def metrics_by_soc_band(rows: DataFrame, label: str = "rct_minutes", prediction:
 def metrics_by_current_decile(rows: DataFrame, label: str = "rct_minutes", prediction: str = "prediction") -> DataFrame:
     """By deciles of |A| over the table; equal edges are one, bins are closed on
     the right, the first on both sides."""
-    rows = rows.filter("current is not null").withColumn("_a", F.abs("current"))
-    edges = rows.agg(F.array_distinct(F.percentile("_a", F.array(*[F.lit(i / 10) for i in range(11)]))).alias("edges"))
+    rows = written(rows.filter("current is not null").select(F.abs("current").alias("_a"), label, prediction))
+    edges = quantiles(rows, F.col("_a"), [i / 10 for i in range(11)]).select(F.array_distinct("quantiles").alias("edges"))
     rows = rows.crossJoin(F.broadcast(edges))
     index = F.greatest(F.lit(1), F.size(F.filter("edges", lambda e: e < F.col("_a"))))
     rows = rows.withColumn("decile", index)
@@ -65,11 +77,29 @@ def success_checks(metrics: DataFrame) -> DataFrame:
     return metrics.agg((of("gbt", "val") <= 1.1 * of("gbt", "test")).alias("stable"), (of("gbt", "test") <= 0.8 * of("ridge", "test")).alias("better_than_linear"))
 
 
+def step_distribution(rct: DataFrame, keys: list[str]) -> DataFrame:
+    """``step`` (minutes between neighbouring rows of a session, to three digits) and how often it occurs."""
+    w = Window.partitionBy(*keys).orderBy("elapsed_min")
+    steps = rct.select(F.round(F.col("elapsed_min") - F.lag("elapsed_min").over(w), 3).alias("step"))
+    return steps.filter("step is not null").groupBy("step").agg(F.count(F.lit(1)).alias("n"))
+
+
+def described(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Number, mean, deviation, extremes and quartiles of columns, a row each."""
+    parts, rows = [], written(rows.select(*columns))
+    for c in columns:
+        found = rows.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).cast("double").alias("lowest"), F.max(c).cast("double").alias("highest"))
+        q = quantiles(rows, F.col(c), [0.25, 0.5, 0.75]).select(*[F.col("quantiles")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
+        parts.append(found.join(F.broadcast(q), F.lit(True), "left").select(F.lit(c).alias("column"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
 def quality_report(rct: DataFrame, keys: list[str]) -> DataFrame:
     """One row of checks on labelled rows: values out of range, missing ones,
-    repeated times, steps other than a minute."""
-    from pyspark.sql import Window
-
+    repeated times, steps other than a minute (``step_distribution`` has them all)."""
     w = Window.partitionBy(*keys).orderBy("elapsed_min")
     rows = rct.withColumns({"_step": F.round(F.col("elapsed_min") - F.lag("elapsed_min").over(w), 3), "_again": F.col("elapsed_min") == F.lag("elapsed_min").over(w)})
     per = rows.groupBy(*keys).agg(
@@ -78,6 +108,7 @@ def quality_report(rct: DataFrame, keys: list[str]) -> DataFrame:
         F.count_if(F.col("current") < 0).alias("neg"),
         F.count_if(F.col("soc").isNull()).alias("no_soc"),
         F.count_if(F.col("current").isNull()).alias("no_amps"),
+        F.count_if(F.col("elapsed_min").isNull()).alias("no_time"),
         F.count_if("_again").alias("again"),
         F.count_if(F.col("_step") == 1).alias("ones"),
         F.count_if(F.col("_step").isNotNull()).alias("steps"),
@@ -90,6 +121,7 @@ def quality_report(rct: DataFrame, keys: list[str]) -> DataFrame:
         (100 * F.sum("neg") / F.sum("n")).alias("percent_negative_current"),
         total("no_soc").alias("null_soc"),
         total("no_amps").alias("null_current"),
+        total("no_time").alias("null_elapsed"),
         total("again").alias("repeated_times"),
         total("ones").alias("steps_of_a_minute"),
         total("steps").alias("steps"),

@@ -46,6 +46,12 @@ def dedupe_keep_first(rows: DataFrame, keys: list[str], order: str) -> DataFrame
     return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
+def ordered_output(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in the order of ``keys`` over all partitions, for writing: ranges are
+    dealt to partitions and each is sorted; nothing is sorted in one task."""
+    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 SQL = """
 rates AS (
   SELECT *, CASE WHEN dtm = 0 THEN 1 ELSE dtm END AS dt1, coalesce(cell_temp, bms_temp) AS temp FROM (

@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import soc_weight
+from ..functions.columns import guarded, soc_weight
 from ..settings import FEATURES, LABEL
 from .evaluate import regression_metrics
 
@@ -31,34 +31,52 @@ def ridge_baseline(train: DataFrame, features: Sequence[str] = FEATURES, alpha:
     return Pipeline(stages=[*impute_standardize(features), fit]).fit(train)
 
 
-def predict_batch(rows: DataFrame, model: PipelineModel) -> DataFrame:
-    """Adds ``prediction``, not below 0; the model's own columns are dropped."""
-    out = model.transform(rows)
+def predict_batch(rows: DataFrame, model: PipelineModel | None, fallback: PipelineModel | None = None) -> DataFrame:
+    """Adds ``prediction``, not below 0, by ``model``, or by the linear ``fallback``
+    where there is none; the model's own columns are dropped."""
+    used = model or fallback
+    if used is None:
+        raise ValueError("neither a model nor a fallback")
+    out = used.transform(rows)
     return out.select(*rows.columns, F.greatest("prediction", F.lit(0.0)).alias("prediction"))
 
 
-#: What the search draws from.
-SPACE = {"maxDepth": (3, 6), "minInstancesPerNode": (5, 30), "stepSize": (0.05, 0.2), "subsamplingRate": (0.6, 1.0)}
+#: What the search draws from. Spark's trees know no penalties on leaf weights; the least gain of a split stands in for them.
+SPACE = {
+    "maxDepth": (4, 12), "minInstancesPerNode": (1, 20), "stepSize": (0.01, 0.2), "subsamplingRate": (0.6, 1.0),
+    "featureSubsetStrategy": (0.6, 1.0), "minInfoGain": (0.0, 0.02), "validationTol": (0.0, 0.01),
+}
 
 
-def gbt_search(rows: DataFrame, features: Sequence[str] = FEATURES, trials: int = 8, rounds: int = 100, seed: int = 42) -> tuple[PipelineModel, list[dict]]:
+def drawn(rng: random.Random) -> dict:
+    """A value of each parameter; the share of features is text, as Spark takes it."""
+    draw = {k: rng.randint(a, b) if isinstance(a, int) else round(rng.uniform(a, b), 4) for k, (a, b) in SPACE.items()}
+    return draw | {"featureSubsetStrategy": str(draw["featureSubsetStrategy"])}
+
+
+def gbt_search(rows: DataFrame, features: Sequence[str] = FEATURES, trials: int = 48, rounds: int = 100, seed: int = 42) -> tuple[PipelineModel | None, list[dict]]:
     """The best of ``trials`` boosted-tree models by error on the val rows, and all
     trials. ``rows`` have ``split``; training stops early on val; rows of low
-    charge weigh more. The assembled rows are read from memory by every trial."""
-    prep = Pipeline(stages=impute_standardize(features, scale=False)).fit(rows.filter("split = 'train'"))
+    charge weigh more. The assembled rows are read from memory by every trial.
+    No model (None) without trials or train rows; without val rows nothing tells
+    trials apart, and the first is it."""
+    features = guarded(features)
+    train = rows.filter("split = 'train'")
+    if trials < 1 or not train.take(1):
+        return None, []
+    prep = Pipeline(stages=impute_standardize(features, scale=False)).fit(train)
     used = rows.filter("split in ('train', 'val')").withColumns({"is_val": F.col("split") == "val", "weight": soc_weight(F.col("soc"))})
     used = prep.transform(used).select("features", LABEL, "is_val", "weight").persist()
+    stops = {"validationIndicatorCol": "is_val"} if used.filter("is_val").take(1) else {}
     rng, best, tried = random.Random(seed), None, []
     try:
         for _ in range(trials):
-            draw = {k: rng.randint(a, b) if isinstance(a, int) else round(rng.uniform(a, b), 4) for k, (a, b) in SPACE.items()}
-            fit = GBTRegressor(featuresCol="features", labelCol=LABEL, weightCol="weight", validationIndicatorCol="is_val", maxIter=rounds, seed=seed, **draw).fit(used)
+            draw = drawn(rng)
+            fit = GBTRegressor(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=rounds, seed=seed, **draw, **stops).fit(used)
             rmse = regression_metrics(fit.transform(used.filter("is_val")), None, LABEL).first()["rmse"]
             tried.append(draw | {"rmse": rmse, "trees": fit.getNumTrees})
-            if rmse is not None and (best is None or rmse < best[0]):
-                best = rmse, fit
-            elif best is None:
-                best = float("inf"), fit
+            if best is None or (rmse is not None and rmse < best[0]):
+                best = float("inf") if rmse is None else rmse, fit
     finally:
         used.unpersist()
     return PipelineModel(stages=[*prep.stages, best[1]]), tried

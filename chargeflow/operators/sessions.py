@@ -127,9 +127,15 @@ def hard_fail() -> Column:
 
 
 def gate_sessions(minutes: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Session minutes of the sessions that pass."""
-    good = session_quality(minutes, settings).filter(~hard_fail()).select(*SESSION)
-    return minutes.filter("session_id is not null").join(good, SESSION, "left_semi")
+    """Session minutes of the sessions that pass ``hard_fail``: its two figures are
+    taken over each session by windows, so that the table is read and dealt once."""
+    add, energy = session_energy_columns(settings.max_dt_s)
+    whole = Window.partitionBy(*SESSION)
+    rows = minutes.filter("session_id is not null").withColumns(add)
+    lasts = seconds_between(F.max("minute").over(whole), F.min("minute").over(whole)) / 60
+    rows = rows.withColumns({"_lasts": lasts, "_kwh": F.abs(F.sum("_area_p").over(whole)) / 3600})
+    fails = (F.col("_lasts") < settings.min_session_min) | (F.col("_kwh") < settings.min_energy_kwh)
+    return rows.filter(~F.coalesce(fails, F.lit(False))).select(*minutes.columns)
 
 
 SQL = """

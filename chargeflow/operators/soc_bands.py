@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_label, bucket_middle, current_bucket, seconds_between
 from ..settings import CURRENT_EDGES, SESSION
+from ..storage import written
 
 SERIES = {"pack": "current", "master": "current_master", "slave": "current_slave"}
 
@@ -81,27 +82,40 @@ def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES) -
     the first current at which half of it is passed. One sample alone: its own
     value. No time between: plain mean and median, no share. No sample: nulls.
     """
+    # A session's bands (96 at most) go with each of its samples, which explodes only into those it lies in.
+    figures = ["soc_start", "soc_end", "t0", "t1", "minutes_total"]
+    of_session = bands.groupBy(*SESSION).agg(F.collect_list(F.struct(*figures)).alias("bands"))
     series = F.explode(F.array(*[F.struct(F.lit(n).alias("series"), F.col(c).alias("amps")) for n, c in SERIES.items()])).alias("x")
-    long = rows.filter("soc is not null").select(*SESSION, "tmin", series).select(*SESSION, "tmin", "x.series", F.abs("x.amps").alias("amps")).filter("amps is not null")
     keys = [*SESSION, "series"]
-    span = long.groupBy(*keys).agg(F.min_by("amps", "tmin").alias("a0"), F.min("tmin").alias("tf"), F.max_by("amps", "tmin").alias("a1"), F.max("tmin").alias("tl"))
-    of_session = bands.select(*SESSION, "soc_start", "t0", "t1")
-    inside = of_session.join(long, SESSION).filter("tmin >= t0 and tmin <= t1").select(*keys, "soc_start", "tmin", "amps")
-    ends = of_session.join(span, SESSION)
-    ends = ends.filter("t0 < tf").select(*keys, "soc_start", F.col("t0").alias("tmin"), F.col("a0").alias("amps")).union(
-        ends.filter("t1 > tl").select(*keys, "soc_start", "t1", "a1")
+    by_time = lambda *order: Window.partitionBy(*keys).orderBy(F.col("amps").isNull(), *order)
+    long = rows.filter("soc is not null").join(of_session, SESSION).select(*SESSION, "bands", "tmin", series).select(*SESSION, "bands", "tmin", "x.series", F.abs("x.amps").alias("amps"))
+    long = long.withColumns({"_first": F.row_number().over(by_time("tmin", "amps")) == 1, "_last": F.row_number().over(by_time(F.desc("tmin"), "amps")) == 1})
+    point = lambda b, at, amps: F.struct(b.alias("band"), at.alias("tmin"), amps.alias("amps"))
+    known = F.col("amps").isNotNull()
+    found = lambda when, at, amps: F.transform(F.filter("bands", when), lambda b: point(b, at(b), amps))
+    none = F.lit(None).cast("double")
+    points = F.concat(
+        found(lambda b: known & (F.col("tmin") >= b["t0"]) & (F.col("tmin") <= b["t1"]), lambda b: F.col("tmin"), F.col("amps")),
+        found(lambda b: known & F.col("_first") & (b["t0"] < F.col("tmin")), lambda b: b["t0"], F.col("amps")),
+        found(lambda b: known & F.col("_last") & (b["t1"] > F.col("tmin")), lambda b: b["t1"], F.col("amps")),
+        # So that each band has a row, whatever is known of its currents.
+        found(lambda b: F.col("_first"), lambda b: none, none),
     )
-    slice_ = [*keys, "soc_start"]
-    w = Window.partitionBy(*slice_).orderBy("tmin", "amps")
-    points = inside.union(ends).withColumns({"dt": F.col("tmin") - F.lag("tmin").over(w), "mid": (F.col("amps") + F.lag("amps").over(w)) / 2})
+    points = long.select(*keys, F.explode(points).alias("p")).select(*keys, *[F.col(f"p.band.{f}").alias(f) for f in figures], "p.tmin", "p.amps")
+    slice_ = [*keys, *figures]
+    of_slice = [*keys, "soc_start"]
+    w = Window.partitionBy(*of_slice).orderBy("tmin", "amps")
+    points = points.withColumns({"dt": F.col("tmin") - F.lag("tmin").over(w), "mid": (F.col("amps") + F.lag("amps").over(w)) / 2})
     points = points.withColumn("bucket", current_bucket(F.col("mid"), edges, "clip"))
-    whole = Window.partitionBy(*slice_)
-    points = points.withColumns({"dur": F.coalesce(F.sum("dt").over(whole), F.lit(0.0)), "n": F.count(F.lit(1)).over(whole)})
-    upto = F.sum("dt").over(Window.partitionBy(*slice_).orderBy("mid", "tmin").rowsBetween(Window.unboundedPreceding, 0))
+    whole = Window.partitionBy(*of_slice)
+    points = points.withColumns({"dur": F.coalesce(F.sum("dt").over(whole), F.lit(0.0)), "n": F.count("amps").over(whole)})
+    upto = F.sum("dt").over(Window.partitionBy(*of_slice).orderBy("mid", "tmin").rowsBetween(Window.unboundedPreceding, 0))
     points = points.withColumn("passed", upto / F.when(F.col("dur") > 0, F.col("dur")))
     by_bucket = points.groupBy(*slice_, "bucket").agg(
-        F.sum("dt").alias("m"), F.sum(F.col("mid") * F.col("dt")).alias("weighted"), F.max("dur").alias("dur"), F.max("n").alias("n"),
-        F.sum("amps").alias("amps"), F.min(F.when(F.col("dt").isNotNull() & (F.round("passed", 9) >= 0.5), F.col("mid"))).alias("half"), F.collect_list("amps").alias("all"),
+        F.sum("dt").alias("m"), F.sum(F.col("mid") * F.col("dt")).alias("weighted"), F.max("dur").alias("dur"), F.max("n").alias("n"), F.sum("amps").alias("amps"),
+        F.min(F.when(F.col("dt").isNotNull() & (F.round("passed", 9) >= 0.5), F.col("mid"))).alias("half"),
+        # Values are wanted only where no time passes between them.
+        F.collect_list(F.when(F.col("dur") == 0, F.col("amps"))).alias("all"),
     )
     top = F.max(F.when(F.col("m").isNotNull(), F.struct(F.round("m", 9).alias("r"), (-F.col("bucket")).alias("b"), "m")))
     slices = by_bucket.groupBy(*slice_).agg(
@@ -109,27 +123,23 @@ def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES) -
         F.min("half").alias("half"), F.array_sort(F.flatten(F.collect_list("all"))).alias("all"),
     )
     k = F.size("all")
-    plain = (F.element_at("all", F.floor((k + 1) / 2).cast("int")) + F.element_at("all", F.floor(k / 2).cast("int") + 1)) / 2
+    plain = (F.get("all", F.floor((k - 1) / 2).cast("int")) + F.get("all", F.floor(k / 2).cast("int"))) / 2
     moving, one = F.col("dur") > 0, F.col("n") == 1
-    found = slices.select(
+    bucket = F.when(moving, -F.col("top.b")).when(one, current_bucket(F.col("amps"), edges, "clip")).otherwise(0)
+    return slices.select(
         *slice_,
-        F.when(moving, -F.col("top.b")).when(one, current_bucket(F.col("amps"), edges, "clip")).otherwise(0).alias("bucket"),
+        bucket.alias("bucket"),
         F.when(moving, F.col("top.m") / F.col("dur")).when(one, 1.0).otherwise(0.0).alias("confidence"),
-        F.when(moving, F.col("weighted") / F.col("dur")).otherwise(F.col("amps") / F.col("n")).alias("mean_abs_current"),
+        F.when(moving, F.col("weighted") / F.col("dur")).when(F.col("n") > 0, F.col("amps") / F.col("n")).alias("mean_abs_current"),
         F.when(moving, F.col("half")).otherwise(plain).alias("median_abs_current"),
+        bucket_label(bucket, edges).alias("label"),
     )
-    every = bands.crossJoin(F.broadcast(_series_names(bands)))
-    out = every.join(found, [*SESSION, "soc_start", "series"], "left")
-    return out.withColumns({"bucket": F.coalesce("bucket", F.lit(0)), "confidence": F.coalesce("confidence", F.lit(0.0)), "label": bucket_label(F.coalesce("bucket", F.lit(0)), edges)})
-
-
-def _series_names(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([(n,) for n in SERIES], "series string")
 
 
 def interval_samples(rct: DataFrame, band: int = 5, min_minutes: float = 0.5) -> DataFrame:
-    """Bands and their current figures of all sessions of a labelled table."""
-    rows = minutes_in_session(charging_rows(rct))
+    """Bands and their current figures of all sessions of a labelled table. The
+    charging rows are written once: bands and figures read that table."""
+    rows = written(minutes_in_session(charging_rows(rct)).select(*SESSION, "timestamp_local", "soc", "tmin", *SERIES.values()))
     return band_current_stats(sliding_soc_bands(rows, band, min_minutes), rows)
 
 
@@ -149,23 +159,22 @@ def estimator_params(pivot: DataFrame, band: int = 5) -> tuple[DataFrame, DataFr
     return means, means.agg(F.coalesce(F.avg("band_minutes") / band, F.lit(1.0)).alias("minutes_per_percent"))
 
 
-def nearest_bucket(amps: Column, used: DataFrame, edges=CURRENT_EDGES) -> Column:
-    """The range among those in use whose middle is nearest; the lower of two."""
-    options = [r.bucket for r in used.select("bucket").distinct().orderBy("bucket").collect()]
-    if not options:
-        return F.lit(None).cast("int")
-    pairs = [F.struct(F.abs(bucket_middle(F.lit(b), edges) - F.abs(amps)).alias("d"), F.lit(b).alias("b")) for b in options]
-    return F.when(amps.isNotNull(), F.array_min(F.array(*pairs))["b"])
+def nearest_bucket(amps: Column, used: Column, edges=CURRENT_EDGES) -> Column:
+    """The range among those in the array ``used`` whose middle is nearest; the lower of two."""
+    pairs = F.transform(used, lambda b: F.struct(F.abs(bucket_middle(b, edges) - F.abs(amps)).alias("d"), b.alias("b")))
+    return F.when(amps.isNotNull(), F.array_min(pairs)["b"])
 
 
 def estimate_remaining_time(requests: DataFrame, pivot: DataFrame, band: int = 5) -> DataFrame:
     """``minutes`` for each request (``request_id``, ``cur_soc``, ``tgt_soc``, ``amps``):
     the sum over bands from current to target charge of the cell's mean, else
     the band's, else the global mean; 0 if the target is reached."""
+    pivot = written(pivot)  # small, and used four times
     means, per = estimator_params(pivot, band)
     first, last = F.floor(F.col("cur_soc") / band) * band, F.floor(F.col("tgt_soc") / band) * band - band
     starts = F.when((F.col("tgt_soc") > F.col("cur_soc")) & (first <= last), F.sequence(first.cast("int"), last.cast("int"), F.lit(band)))
-    rows = requests.withColumns({"soc_start": F.explode_outer(starts), "bucket": nearest_bucket(F.col("amps"), pivot)})
+    used = pivot.agg(F.array_sort(F.collect_set("bucket")).alias("_used"))  # a row, a range each at most
+    rows = requests.crossJoin(F.broadcast(used)).withColumns({"soc_start": F.explode_outer(starts), "bucket": nearest_bucket(F.col("amps"), F.col("_used"))})
     rows = rows.join(pivot.select("soc_start", "bucket", "mean_minutes"), ["soc_start", "bucket"], "left").join(means, "soc_start", "left").crossJoin(F.broadcast(per))
     cell = F.when(F.col("soc_start").isNull(), 0.0).otherwise(F.coalesce("mean_minutes", "band_minutes", F.col("minutes_per_percent") * band))
     return rows.groupBy("request_id").agg(F.sum(cell).alias("minutes"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import soc_bands as B
 from ..operators import soc_bins as M
 from ..settings import SESSION
+from ..storage import written
 from .queries_core import Query, S, gated, r, rct, rounded, sql
 
 BIN_FIGURES = ["minutes_total", "mode_minutes", "confidence", "median_abs_current", "mean_abs_current"]
@@ -32,6 +33,10 @@ def estimator_requests(spark: SparkSession, d: str) -> DataFrame:
     return own.select(name.alias("request_id"), F.col("soc").alias("cur_soc"), (F.col("soc") + 25 - F.col("vehicle_id") % 7 * 5).alias("tgt_soc"), F.when(F.col("vehicle_id") % 5 != 0, F.col("current")).alias("amps"))
 
 
+def _crossed(pair: tuple[DataFrame, DataFrame]) -> DataFrame:
+    return pair[0].crossJoin(F.broadcast(pair[1]))
+
+
 REQUESTS_SQL = """requests AS (SELECT concat_ws('/', vehicle_id, session_id, strftime(timestamp_local, '%Y%m%d%H%M')) AS request_id, soc AS cur_soc, soc + 25 - vehicle_id % 7 * 5 AS tgt_soc,
   CASE WHEN vehicle_id % 5 <> 0 THEN current END AS amps FROM rct WHERE soc IS NOT NULL)"""
 
@@ -75,7 +80,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     ),
     "a6_interval_pivot": (lambda s, d: rounded(pivot(s, d)), sql("rct", f"SELECT soc_start, bucket, {r('mean_minutes')}, n FROM pivot_pack", B.SQL, B.SQL_STATS)),
     "a7_estimator_params": (
-        lambda s, d: rounded(B.estimator_params(pivot(s, d))[0].crossJoin(B.estimator_params(pivot(s, d))[1])),
+        lambda s, d: rounded(_crossed(B.estimator_params(written(pivot(s, d))))),
         sql("rct", f"SELECT soc_start, {r('band_minutes', 'minutes_per_percent')} FROM band_means CROSS JOIN per_percent", B.SQL, B.SQL_STATS),
     ),
     "j5_estimate_remaining_time": (

@@ -63,10 +63,9 @@ def _p17(spark, d):
 
 
 def _p15(spark, d):
-    rows = rct(spark, d).drop("km", "bms_temp")
-    keep = [*SESSION, "timestamp_local"]
-    aligned = C.align_features(rows.select(*rows.columns), [*FEATURES, "absent_feature"], 0.0)
-    return rounded(rows.select(*keep, *[(C.to_double(F.col(f)) if f in rows.columns else F.lit(0.0)).alias(f) for f in aligned.columns]))
+    # The vehicle and the minute as numbers among the features, so that rows can be told apart.
+    rows = rct(spark, d).drop("km", "bms_temp").withColumn("minute_number", C.clock(F.col("timestamp_local")) / 60_000_000)
+    return rounded(C.align_features(rows, ["vehicle_id", "minute_number", *FEATURES, "absent_feature"], 0.0))
 
 
 def _l1(spark, d):
@@ -84,7 +83,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "p14_soc_sample_weight": (lambda s, d: samples(s, d).select("seq", C.soc_weight(F.col("soc")).alias("weight")), sql("telemetry", "SELECT seq, CASE WHEN soc >= 0 AND soc < 20 THEN 1.5 WHEN soc >= 20 AND soc < 40 THEN 1.2 ELSE 1.0 END::DOUBLE AS weight FROM telemetry")),
     "p15_align_features": (
         _p15,
-        sql("rct", f"SELECT {S}, timestamp_local, {r(*[f for f in FEATURES if f not in ('km', 'bms_temp')])}, 0.0::DOUBLE AS km, 0.0::DOUBLE AS bms_temp, 0.0::DOUBLE AS absent_feature FROM rct"),
+        sql("rct", f"SELECT vehicle_id::DOUBLE AS vehicle_id, epoch_us(timestamp_local) / 60e6 AS minute_number, {r(*[f for f in FEATURES if f not in ('km', 'bms_temp')])}, 0.0::DOUBLE AS km, 0.0::DOUBLE AS bms_temp, 0.0::DOUBLE AS absent_feature FROM rct"),
     ),
     "p16_drop_forbidden": (
         lambda s, d: rounded(C.drop_forbidden(rct(s, d).withColumn("loss_kwh", F.lit(1.0)).drop("sign", "charging", "dsoc"))),
@@ -97,7 +96,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
           CASE WHEN vehicle_id % 4 = 0 THEN voltage * 1.4 ELSE voltage END AS voltage, current FROM rct) WHERE rct_minutes > 0 AND (voltage IS NULL OR voltage BETWEEN 200 AND 900) AND (current IS NULL OR current BETWEEN -500 AND 500)"""),
     ),
     "f3_soc_current_slice": (
-        lambda s, d: rounded(rct(s, d).filter(F.col("soc").between(20, 80) & F.abs("current").between(10, 15)).select(*SESSION, "timestamp_local", "soc", "current")),
+        lambda s, d: rounded(C.soc_current_slice(rct(s, d)).select(*SESSION, "timestamp_local", "soc", "current")),
         sql("rct", f"SELECT {S}, timestamp_local, {r('soc', 'current')} FROM rct WHERE soc BETWEEN 20 AND 80 AND abs(current) BETWEEN 10 AND 15"),
     ),
     "a11_column_profile": (
@@ -125,7 +124,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "a15_quality_report": (
         lambda s, d: rounded(E.quality_report(rct(s, d), SESSION)),
         sql("rct", """SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (soc < 0 OR soc > 100)::BIGINT AS soc_out_of_range, round(100 * count(*) FILTER (current < 0) / count(*) + 1e-9, 6) + 0.0 AS percent_negative_current,
-          count(*) FILTER (soc IS NULL) AS null_soc, count(*) FILTER (current IS NULL) AS null_current, count(*) FILTER (st = 0) AS repeated_times, count(*) FILTER (round(st, 3) = 1) AS steps_of_a_minute, count(st) AS steps,
+          count(*) FILTER (soc IS NULL) AS null_soc, count(*) FILTER (current IS NULL) AS null_current, count(*) FILTER (elapsed_min IS NULL) AS null_elapsed, count(*) FILTER (st = 0) AS repeated_times, count(*) FILTER (round(st, 3) = 1) AS steps_of_a_minute, count(st) AS steps,
           round(max(round(st, 3)) + 1e-9, 6) + 0.0 AS longest_step, count(DISTINCT CASE WHEN round(st, 3) <> 1 THEN vehicle_id || '/' || yyyymm || '/' || session_id END) AS sessions_with_other_steps
           FROM (SELECT *, elapsed_min - lag(elapsed_min) OVER (PARTITION BY vehicle_id, yyyymm, session_id ORDER BY elapsed_min) AS st FROM rct)"""),
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import clock
+from ..functions.columns import clock, wall
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +16,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events.select(F.col("user_id").alias("vehicle_id"), F.col("event_id").alias("seq"), "event_type", "value", e.alias("e"), k.alias("k"))
     e, k = F.col("e"), F.col("k")
     day = 86_400_000_000
-    ts = F.timestamp_micros(1704067200000000 + F.floor(e / 400)).cast("timestamp_ntz")
+    ts = wall(1704067200000000 + F.floor(e / 400))
     ramp = 150 + F.expr(f"(700 * (e % {10 * day})) div {10 * day}") - F.when(k % 13 == 0, 15).otherwise(0)
     sign = F.when(F.col("vehicle_id") % 3 == 0, 1).otherwise(-1) * F.when(F.expr(f"(e div {day}) % 7 = 6"), -1).otherwise(1)
     return rows.select(

@@ -9,7 +9,9 @@ from ..settings import DEFAULTS, LAST_FIELDS, MEAN_FIELDS, Settings
 
 
 def _event_time(rows: DataFrame, delay: str) -> DataFrame:
-    # A watermark needs an instant: the wall clock counts as UTC.
+    # A watermark needs an instant: the wall clock counts as UTC, in which no hour is missing.
+    if rows.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "GMT"):
+        raise ValueError("set spark.sql.session.timeZone to UTC: the wall clock of live rows counts as such")
     return rows.withColumn("ts", F.col("ts_local").cast("timestamp")).withWatermark("ts", delay)
 
 
@@ -20,7 +22,7 @@ def stream_curate_minute(aligned: DataFrame, delay: str = "2 minutes") -> DataFr
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(c) for c in LAST_FIELDS if c in aligned.columns]
     mean = [F.avg(c).alias(c) for c in MEAN_FIELDS if c in aligned.columns]
     out = rows.groupBy("vehicle_id", F.window("ts", "1 minute").alias("w")).agg(*last, *mean)
-    return out.withColumn("minute", F.col("w.start").cast("timestamp_ntz")).drop("w")
+    return out.withColumn("minute", F.col("w.start").cast("timestamp_ntz")).withColumn("yyyymm", F.date_format("minute", "yyyy-MM")).drop("w")
 
 
 def stream_sessions(charging: DataFrame, settings: Settings = DEFAULTS, delay: str = "2 minutes") -> DataFrame:

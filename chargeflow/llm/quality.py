@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +51,10 @@ def terms(text: str) -> np.ndarray:
     varied its words and lines are. Whole texts, in slices."""
     shape = np.zeros(SHAPES, np.int64)
     for at in range(0, max(1, len(text)), SLICE):
-        k = _kinds()[_points(text[at : at + SLICE])].astype(np.uint32)
+        # Two characters of the slice before, so that no n-gram is lost between slices.
+        seen = _kinds()[_points(text[max(0, at - 2) : at + SLICE])].astype(np.uint32)
         for n in (1, 2, 3):
+            k = seen[3 - n :] if at else seen
             if len(k) >= n:
                 h = k[: len(k) - n + 1] + np.uint32(n << 24)
                 for j in range(1, n):
@@ -77,14 +80,14 @@ class Model:
     decomposition of their centred term vectors); a text's score is the mean
     label of the nearest ones by cosine, weighted by similarity."""
 
-    def __init__(self, texts: list[str], labels: list[int], dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS):
-        self.neighbours = min(neighbours, len(texts))
+    def __init__(self, x: np.ndarray, labels: list[int], dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS):
+        """From term vectors (rows of ``x``) and their labels."""
+        self.neighbours = min(neighbours, len(labels))
         self.labels = np.array(labels, np.float32)
-        if not texts:
+        if not len(labels):
             return
-        x = np.array([terms(t) for t in texts])
         self.mean = x.mean(0)
-        x -= self.mean
+        x = x - self.mean
         value, vector = np.linalg.eigh(x.T @ x)
         self.axes = np.ascontiguousarray(vector[:, ::-1][:, :dimensions], np.float32)
         self.vectors = self._latent(x)
@@ -111,13 +114,22 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, allowed, sample: int = SAMPLE) -> Model:
     """Fits on the labelled rows that are ``allowed`` (a condition on doc_id),
     ``sample`` at most. Null labels and texts are left out; of an id's several
-    labels the smallest counts."""
+    labels the smallest counts. Term vectors, whose size is fixed, come to the
+    driver, not texts."""
     usable = labels.filter(allowed & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     first = usable.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(sample)
     label = {r.doc_id: r.quality for r in first.collect()}
-    rows = docs.filter(F.col("doc_id").isin(list(label)) & F.col("text").isNotNull()).select("doc_id", "text").collect() if label else []
-    rows.sort()
-    return Model([r.text for r in rows], [label[r.doc_id] for r in rows])
+    usable_docs = docs.filter(F.col("doc_id").isin(list(label)) & F.col("text").isNotNull()).select("doc_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # Half precision holds what the fit needs.
+            vectors = [zlib.compress(terms(t).astype(np.float16).tobytes(), 1) for t in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(vectors, pa.binary())], names=["doc_id", "vector"])
+
+    rows = sorted(usable_docs.mapInArrow(run, "doc_id long, vector binary").collect()) if label else []
+    x = np.array([np.frombuffer(zlib.decompress(r.vector), np.float16) for r in rows], np.float32)
+    return Model(x, [label[r.doc_id] for r in rows])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

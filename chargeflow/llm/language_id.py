@@ -19,8 +19,8 @@ SYMBOLS, SHARED = 64, 8
 #: Training texts of a language at most, landmarks of a language, characters of text that are indexed at a time.
 PER_LANGUAGE, LANDMARKS = 250, 24
 SLICE = 1 << 20
-#: Indexed n-grams that scoring multiplies.
-FEATURES = 1 << 13
+#: Numbers of the matrix of texts that one product takes.
+PRODUCT = 1 << 22
 SPAN = SYMBOLS**3 + SYMBOLS**2 + SYMBOLS
 
 
@@ -40,13 +40,16 @@ def _points(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def alphabet(texts: list[str]) -> np.ndarray:
-    """Symbol of each code point: own ones for the letters most frequent in ``texts``."""
+def letter_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case letters of a text (0 for all that is none) and how often each occurs."""
+    return np.unique(_letters()[_points([text])], return_counts=True)
+
+
+def alphabet(points: list[int], numbers: list[int]) -> np.ndarray:
+    """Symbol of each code point: own ones for the letters most frequent in the counts."""
     low = _letters()
     counts = np.zeros(0x110000, np.int64)
-    for t in texts:
-        p, c = np.unique(low[_points([t])], return_counts=True)
-        counts[p] += c
+    counts[np.array(points, np.int64)] = numbers
     counts[0] = 0
     own = SYMBOLS - SHARED - 1
     top = np.argsort(-counts, kind="stable")[:own]
@@ -71,14 +74,23 @@ def presence(symbols: np.ndarray) -> np.ndarray:
     return np.flatnonzero(seen)
 
 
+def of_text(table: np.ndarray, t: str) -> np.ndarray:
+    """The n-grams of a whole text; a long one in slices that overlap by two
+    characters, as presence is a union."""
+    got = presence(table[_points([t[:SLICE]])])
+    for k in range(SLICE, len(t), SLICE):
+        got = np.union1d(got, presence(table[_points([t[k - 2 : k + SLICE]])]))
+    return got
+
+
 class Model:
     """Blended-spectrum presence kernel: n-grams (n = 1 to 3) that two texts
     share, over the root of the product of their numbers. Nyström features
     against landmark texts, one ridge regression a language on them."""
 
-    def __init__(self, texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-2):
-        self.table = alphabet(texts)
-        sets = [presence(self.table[_points([t])]) for t in texts]
+    def __init__(self, table: np.ndarray, sets: list[np.ndarray], langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-2):
+        """From the symbols, and each training text's n-grams and language."""
+        self.table = table
         keep = [i for i, s in enumerate(sets) if len(s)]
         sets, langs = [sets[i] for i in keep], [langs[i] for i in keep]
         self.langs = sorted(set(langs))
@@ -88,7 +100,7 @@ class Model:
         counts = np.zeros(SPAN, np.int64)
         for i in chosen:
             counts[sets[i]] += 1
-        codes = np.sort(np.argsort(-counts, kind="stable")[: min(FEATURES, int((counts > 0).sum()))])
+        codes = np.flatnonzero(counts)  # every n-gram of the landmarks
         self.column = np.full(SPAN, -1, np.int32)
         self.column[codes] = np.arange(len(codes))
         self.landmarks = np.zeros((len(codes), len(chosen)), np.float32)
@@ -120,16 +132,12 @@ class Model:
         names, scores = ["und"] * len(texts), [0.0] * len(texts)
         if not self.langs:
             return names, scores
-        for at in range(0, len(texts), 256):
-            part = [i for i in range(at, min(at + 256, len(texts))) if texts[i]]
+        step = max(1, min(256, PRODUCT // len(self.landmarks)))
+        for at in range(0, len(texts), step):
+            part = [i for i in range(at, min(at + step, len(texts))) if texts[i]]
             sets = {}
             for i in part:
-                # Long texts in slices that overlap by two characters: presence is a union.
-                t = texts[i]
-                got = presence(self.table[_points([t[:SLICE]])])
-                for k in range(SLICE, len(t), SLICE):
-                    got = np.union1d(got, presence(self.table[_points([t[k - 2 : k + SLICE]])]))
-                if len(got):
+                if len(got := of_text(self.table, texts[i])):
                     sets[i] = got
             if not sets:
                 continue
@@ -143,14 +151,30 @@ class Model:
 
 def train(docs: DataFrame, allowed, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> Model:
     """Fits on ``per_language`` texts of each language at most, the first by a
-    hash of the id among the rows ``allowed`` (a condition)."""
+    hash of the id among the rows ``allowed`` (a condition). Their n-grams, of
+    bounded number, come to the driver, not texts."""
     order = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col), F.lit(11)), id_col)
     usable = docs.filter(allowed & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     first = usable.select(id_col, lang_col).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_language)
     ids = [r[0] for r in first.select(id_col).collect()]
-    rows = usable.filter(F.col(id_col).isin(ids) & F.col(text_col).isNotNull()).select(text_col, lang_col, id_col).collect()
-    rows.sort(key=lambda r: (str(r[1]), r[2], r[0]))
-    return Model([r[0] for r in rows], [str(r[1]) for r in rows])
+    texts = usable.filter(F.col(id_col).isin(ids) & F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("long").alias("id"))
+
+    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [letter_counts(t) for t in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(np.concatenate([p for p, _ in found]), pa.int32()), pa.array(np.concatenate([n for _, n in found]), pa.int64())], names=["point", "n"])
+
+    counted = texts.mapInArrow(letters, "point int, n long").groupBy("point").agg(F.sum("n").alias("n")).collect() if ids else []
+    table = alphabet([r.point for r in counted], [r.n for r in counted])
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [of_text(table, t).astype(np.int32).tobytes() for t in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(sets, pa.binary()), b.column(1), b.column(2)], names=["grams", "lang", "id"])
+
+    rows = texts.mapInArrow(grams, "grams binary, lang string, id long").collect() if ids else []
+    rows.sort(key=lambda r: (r.lang, r.id, r.grams))
+    return Model(table, [np.frombuffer(r.grams, np.int32).astype(np.int64) for r in rows], [r.lang for r in rows])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

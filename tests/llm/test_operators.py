@@ -11,10 +11,11 @@ from collections import Counter, defaultdict
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from chargeflow.llm import chat, components, exact_dedup, fingerprints, language_id, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, signature_tree, substring_dedup, tables
+from chargeflow.llm import chat, components, exact_dedup, fingerprints, language_id, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, signature_tree, substring_dedup, tables, words
 from chargeflow.llm.pieces import Pieces
 
 SMALL = "/root/testdata/sf0.001"
@@ -479,6 +480,54 @@ def test_quality(spark, odd, empty):
     assert quality.score(empty, model).count() == 0
 
 
+def test_quality_against_comparing_with_every_vector(small):
+    rng = np.random.default_rng(3)
+    texts = [r.text or "" for r in small.select("text").collect()]
+    x, labels = np.array([quality.terms(t) for t in texts[:120]]), rng.integers(0, 2, 120)
+    model = quality.Model(x, labels.tolist())
+    # The latent space by a singular value decomposition, votes one by one.
+    centred = x - x.mean(0)
+    axes = np.linalg.svd(centred.astype(np.float64), full_matrices=False)[2][: quality.DIMENSIONS]
+    unit = lambda z: z / max(1e-9, np.linalg.norm(z))
+    known = [unit(axes @ c) for c in centred]
+    for text, got in zip(texts[120:], model.scores(texts[120:])):
+        z = unit(axes @ (quality.terms(text) - x.mean(0)))
+        near = sorted(((z @ v, y) for v, y in zip(known, labels)), reverse=True)[: quality.NEIGHBOURS]
+        weight = [max(c, 0) ** 4 + 1e-6 for c, _ in near]
+        assert got == pytest.approx(sum(w * y for w, (_, y) in zip(weight, near)) / sum(weight), abs=0.02)
+
+
+def test_long_texts_are_as_one_piece(monkeypatch, small):
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("abcdeé日ÄZ.,\n7", k=rng.randint(1, 9))) for _ in range(3000))
+    want = quality.terms(text)
+    symbols = language_id.alphabet(*language_id.letter_counts(text))
+    grams = language_id.of_text(symbols, text)
+    sets = list(words.shingle_sets(pa.array([text, "a b", text[:99]]), 5))
+    model = lm_scoring.train(small.limit(50), rounds=1)
+    table = lm_scoring.token_table(model.letters)
+    n, total = model.scores([text, "ab", text], table)
+    for module in (quality, language_id, words, lm_scoring):
+        monkeypatch.setattr(module, "SLICE", 501)
+    assert quality.terms(text) == pytest.approx(want)
+    assert (language_id.of_text(symbols, text) == grams).all()
+    assert all((a == b).all() for a, b in zip(words.shingle_sets(pa.array([text, "a b", text[:99]]), 5), sets))
+    again = model.scores([text, "ab", text], table)
+    assert (again[0] == n).all() and again[1] == pytest.approx(total, rel=1e-6)
+
+
+def test_language_kernel_against_plain_sets(small):
+    rows = small.filter("lang is not null and text is not null").select("text", "lang").limit(60).collect()
+    counts = Counter(c.lower()[0] for r in rows for c in r.text if c.isalpha())
+    table = language_id.alphabet([ord(c) for c in counts], list(counts.values()))
+    sets = [language_id.of_text(table, r.text) for r in rows]
+    model = language_id.Model(table, sets, [r.lang for r in rows])
+    plain = [set(s.tolist()) for s in sets]
+    chosen = [i for x in model.langs for i in [j for j, r in enumerate(rows) if r.lang == x][: language_id.LANDMARKS]]
+    kernel = [[len(a & plain[j]) / np.sqrt(len(a) * len(plain[j])) for j in chosen] for a in plain]
+    assert model._kernel(sets) == pytest.approx(np.array(kernel), abs=1e-4)
+
+
 def test_lm_scores_are_sums_of_conditionals(small, odd, empty):
     model = lm_scoring.train(small, rounds=4)
     net, table = lm_scoring.Network(np.frombuffer(model.flat)), lm_scoring.token_table(model.letters)

@@ -41,8 +41,11 @@ class Template:
     accept: tuple[str, ...] = ("asked", "answered")
 
     def codes(self) -> dict[str, str]:
-        """The characters that texts don't hold as such, and what stands for them."""
-        special = dict.fromkeys([self.escape, self.start.strip()[0], self.mid.strip()[0], self.end.strip()[0]])
+        """The characters that texts don't hold as such, and what stands for them. Of a
+        mark that is more than white space, that is its first other character."""
+        if not self.mid or not self.end:
+            raise ValueError("a turn needs a mark after its role and one at its end")
+        special = dict.fromkeys([self.escape, *((m.strip() or m)[0] for m in (self.start, self.mid, self.end) if m)])
         return {c: self.escape + chr(97 + i) for i, c in enumerate(special)}
 
 
@@ -130,10 +133,14 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
                 for segments in part.column("segments").to_pylist():
                     text = "".join(s["text"] for s in segments)
                     chars.append(len(text))
-                    parsed = []
-                    for piece in text.split(template.end)[:-1]:
-                        name, _, body = piece.removeprefix(template.start).partition(template.mid)
+                    parsed, begin = [], 0
+                    while begin < len(text):
+                        begin += len(template.start)
+                        mid = text.index(template.mid, begin)
+                        end = text.index(template.end, mid + len(template.mid))
+                        name, body = text[begin:mid], text[mid + len(template.mid) : end]
                         parsed.append({"role": roles[name] if name in roles else plain(name)[1:], "text": plain(body)})
+                        begin = end + len(template.end)
                     turns.append(parsed)
                     under.append([plain(s["text"]) for s in segments if s["loss"]])
                 kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))

@@ -587,6 +587,16 @@ def test_chat(spark):
     assert chat.format_chats(frame.limit(0)).count() == 0
 
 
+def test_chat_templates_with_blank_marks(spark):
+    texts = ["one\ntwo", "\n\n", " \\ ", "", "<a>: b"]
+    frame = spark.createDataFrame([(1, i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    for template in (chat.Template(start="<|", mid="\n", end="\n"), chat.Template(start="", mid=" ", end="\n\n"), chat.Template(start="\t", mid="\n", end="\t\n")):
+        back = chat.read_back(chat.format_chats(frame, template), template).first()
+        assert [t.text for t in back.turns] == texts and back.loss_texts == texts[1::2]
+    with pytest.raises(ValueError):
+        chat.Template(end="").codes()
+
+
 def test_chat_query_reads_every_conversation_back(spark):
     rows = spark.read.parquet(f"{SMALL}/conversations.parquet").collect()
     chats = defaultdict(list)

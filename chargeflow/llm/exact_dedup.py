@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .tables import SPACE_RUN, read
 
@@ -48,13 +49,16 @@ def exact_duplicates(
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns; of rows that repeat
-    both the id and the text, one stays."""
+    both the id and the text, the least by all columns that can be ordered stays."""
     # Each text's smallest id is found on digests; only ids and digests meet the rows again.
     id_ = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
     stay = exact_duplicates(docs, id_col, text_col).filter("kept").select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), F.col("text_sha256").alias("_sha"))
-    rows = docs.withColumn("_id", id_).withColumn("_sha", F.sha2(folded(F.col(text_col)), 256))
-    # The same keys part the rows of the join and of the second step: one shuffle of texts.
-    return rows.join(stay, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+    # Rows are held as one column, so that no name of theirs clashes.
+    rows = docs.select(id_.alias("_id"), F.sha2(folded(F.col(text_col)), 256).alias("_sha"), F.struct("*").alias("_row"))
+    # The same keys part the rows of the join and of the window: one shuffle of texts.
+    ordered = [F.col("_row").getField(f.name) for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    same = Window.partitionBy("_id", "_sha").orderBy(*ordered)
+    return rows.join(stay, ["_id", "_sha"], "left_semi").withColumn("_n", F.row_number().over(same)).filter("_n = 1").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,14 +149,31 @@ class Model:
         return names, scores
 
 
+def _first_ids(rows: DataFrame, many: int) -> list:
+    """The ids of the first ``many`` rows (``id``, ``lang``) of each language, by a hash of the
+    id. Only hashes below a bound are ranked, which about twice as many rows of each
+    language have; where some language has too few there, the bound grows eightfold."""
+    hashed = rows.withColumn("_h", F.xxhash64("id", F.lit(11)))
+    number = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = Window.partitionBy("lang").orderBy("_h", "id")
+    found, due, factor = [], set(number), 2.0
+    while due:
+        share = {x: factor * (many + 32) / number[x] for x in due}
+        bound = [F.when(F.col("lang") == x, F.lit(min(2**63 - 1, int(-(2**63) + y * 2**64)))) for x, y in share.items()]
+        near = hashed.filter(F.col("_h") <= F.coalesce(*bound))
+        got = near.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= many).select("id", "lang").collect()
+        full = {x for x in due if share[x] >= 1 or sum(r.lang == x for r in got) >= many}
+        found += [r.id for r in got if r.lang in full]
+        due, factor = due - full, factor * 8
+    return found
+
+
 def train(docs: DataFrame, allowed, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> Model:
     """Fits on ``per_language`` texts of each language at most, the first by a
     hash of the id among the rows ``allowed`` (a condition). Their n-grams, of
     bounded number, come to the driver, not texts."""
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col), F.lit(11)), id_col)
     usable = docs.filter(allowed & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    first = usable.select(id_col, lang_col).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_language)
-    ids = [r[0] for r in first.select(id_col).collect()]
+    ids = _first_ids(usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")), per_language)
     texts = usable.filter(F.col(id_col).isin(ids) & F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("long").alias("id"))
 
     def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +189,9 @@ def train(docs: DataFrame, allowed, text_col: str = "text", lang_col: str = "lan
             sets = [of_text(table, t).astype(np.int32).tobytes() for t in b.column(0).to_pylist()]
             yield pa.record_batch([pa.array(sets, pa.binary()), b.column(1), b.column(2)], names=["grams", "lang", "id"])
 
-    rows = texts.mapInArrow(grams, "grams binary, lang string, id long").collect() if ids else []
-    rows.sort(key=lambda r: (r.lang, r.id, r.grams))
+    # Rows that repeat an id and language count once, so that what is collected stays bounded.
+    found = texts.mapInArrow(grams, "grams binary, lang string, id long").groupBy("lang", "id").agg(F.min("grams").alias("grams"))
+    rows = sorted(found.collect(), key=lambda r: (r.lang, r.id)) if ids else []
     return Model(table, [np.frombuffer(r.grams, np.int32).astype(np.int64) for r in rows], [r.lang for r in rows])
 
 

@@ -127,7 +127,9 @@ def train(docs: DataFrame, labels: DataFrame, allowed, sample: int = SAMPLE) ->
             vectors = [zlib.compress(terms(t).astype(np.float16).tobytes(), 1) for t in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(vectors, pa.binary())], names=["doc_id", "vector"])
 
-    rows = sorted(usable_docs.mapInArrow(run, "doc_id long, vector binary").collect()) if label else []
+    # Rows that repeat an id count once, so that what is collected stays bounded.
+    found = usable_docs.mapInArrow(run, "doc_id long, vector binary").groupBy("doc_id").agg(F.min("vector").alias("vector"))
+    rows = sorted(found.collect()) if label else []
     x = np.array([np.frombuffer(zlib.decompress(r.vector), np.float16) for r in rows], np.float32)
     return Model(x, [label[r.doc_id] for r in rows])
 

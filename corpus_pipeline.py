@@ -21,36 +21,43 @@ LEAST_LANGUAGE_SCORE = 0.3
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID (7), learned from the labelled rows of ``docs``: documents
-    without a language go."""
+    without a language go, null and empty texts among them, and all where no row
+    is labelled, as there is no language then."""
     model = language_id.train(docs, F.lit(True))
     found = language_id.identify(docs, model)
     return found.filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact dedup (3): of equal texts, the row with the smallest id stays."""
+    """Exact dedup (3): of equal texts, the row with the smallest id stays; null
+    ids come last. Of an id's different texts each stays."""
     return exact_dedup.keep_first(docs).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (4), five words, similarity of 0.8: of each group the
-    document with the smallest id stays."""
+    document with the smallest id stays. Texts of one id are one document, which
+    stays or goes whole; rows with a null id link with nothing and stay."""
     groups = ngram_jaccard.jaccard_groups(docs)
     gone = groups.filter("doc_id > component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing sources (10): each document as many times as the mix takes it."""
+    """Mixing sources (10): each document as many times as the mix takes it, not
+    at all where that is 0. Texts without words have no part in it and stay once."""
     # Exact dedup has left each pair of id and text once, so that this key joins rows one to one.
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    copies = mixing.mix(keyed, id_col="_key").filter("copies > 0").select(F.col("doc_id").alias("_key"), "copies")
+    # Rows are held as one column, so that no name of theirs clashes.
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("_key"), F.struct("*").alias("_row"))
+    sized = keyed.select("_key", F.col("_row.text").alias("text"), F.col("_row.source").alias("source"))
+    copies = mixing.mix(sized, id_col="_key").filter("copies > 0").select(F.col("doc_id").alias("_key"), "copies")
     taken = keyed.join(copies, "_key")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("_row.*")
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece encoding (2), decoded again as proof; the ids stay."""
+    """SentencePiece encoding (2), decoded again as proof; the ids stay. Each row,
+    repeated ones too, gives one; null and empty texts have no ids."""
     encoded = sentence_pieces.decode(sentence_pieces.encode(docs))
     same = F.sha2("decoded", 256) == F.col("text_sha256")
     return encoded.select("doc_id", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))

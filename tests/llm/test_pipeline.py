@@ -1,8 +1,13 @@
 """The corpus pipeline, stage by stage, against the operators' plain rules."""
 
 import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from chargeflow.llm import mixing
 from chargeflow.llm.exact_dedup import exact_duplicates
 from chargeflow.llm.ngram_jaccard import jaccard_groups
 
@@ -26,6 +31,17 @@ def test_stages(spark):
     assert {r.doc_id for r in after.collect()} == {r.keep_id for r in exact_duplicates(before).collect()}
     before, after = left["ngram_jaccard"]
     assert {r.doc_id for r in after.collect()} == {r.component_id for r in jaccard_groups(before).collect()}
+    before, after = left["mixing"]
+    # Which of a source's documents of one size get the extra copy goes by a hash of the key.
+    plan, want, got, words = mixing.mix(before).collect(), Counter(), Counter(), Counter()
+    for r in plan:
+        want[r.source, r.size] += r.copies
+    for r in after.collect():
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        got[r.source, n] += 1
+        words[r.source] += n
+    assert got == +want
+    assert all(abs(words[r.source] - r.target) <= 0.02 * r.target + 50 for r in plan)
     before, after = left["sentence_pieces"]
     rows = after.collect()
     assert len(rows) == before.count() and all(r.round_trip for r in rows)
@@ -34,3 +50,33 @@ def test_stages(spark):
 def test_run(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert got.count() > 0 and got.filter("not round_trip").count() == 0
+
+
+PROSE = "the quick brown fox jumps over the lazy dog and then it rests in the warm sun beside the old river bank while birds sing"
+ODD = [
+    (1, PROSE, "en", "web"), (2, PROSE, "en", "web"), (2, PROSE, "en", "web"), (3, PROSE + " again", "en", "web"), (None, PROSE + " alone", "en", None),
+    (4, None, "en", "web"), (5, "", None, None), (6, "ein ganz anderer Text mit vielen Worten über das Wetter", "de", "x"), (6, "noch ein Text derselben Nummer", "de", "x"),
+    (7, "word " * 20_000, "en", "x"), (8, "12 34", "de", "x"),
+]
+KEPT = {
+    "language_id": [1, 2, 2, 3, 6, 6, 7, None],
+    "exact_dedup": [1, 3, 6, 6, 7, 8, 4, None],
+    "ngram_jaccard": [1, 4, 5, 6, 6, 7, 8, None],
+}
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows_and_empty_tables(spark, name, stage):
+    # Extra columns whose names the stages use inside.
+    odd = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string").withColumns({c: F.lit("x") for c in ("copies", "_key", "_copy", "_id", "_sha", "_n", "row", "n")})
+    got = stage(spark, odd.drop_duplicates(["doc_id", "text"]) if name == "mixing" else odd, SMALL)
+    ids = sorted((r.doc_id for r in got.collect()), key=lambda x: (x is None, x))
+    if name in KEPT:
+        assert ids == sorted(KEPT[name], key=lambda x: (x is None, x))
+    if name == "mixing":
+        assert {4, 5} <= set(ids) <= {r[0] for r in ODD}
+    if name == "sentence_pieces":
+        assert len(ids) == len(ODD)
+    else:
+        assert got.columns == odd.columns and {r._key for r in got.collect()} <= {"x"}
+    assert stage(spark, odd.limit(0), SMALL).count() == 0

@@ -88,7 +88,11 @@ def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES) -
     series = F.explode(F.array(*[F.struct(F.lit(n).alias("series"), F.col(c).alias("amps")) for n, c in SERIES.items()])).alias("x")
     keys = [*SESSION, "series"]
     by_time = lambda *order: Window.partitionBy(*keys).orderBy(F.col("amps").isNull(), *order)
-    long = rows.filter("soc is not null").join(of_session, SESSION).select(*SESSION, "bands", "tmin", series).select(*SESSION, "bands", "tmin", "x.series", F.abs("x.amps").alias("amps"))
+    # Rows grow by about fifteen times in the stage that reads them: adaptive execution, which joins
+    # partitions by the bytes read, would leave it too few tasks, a number given here does not.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known_soc = rows.filter("soc is not null").select(*SESSION, "tmin", *SERIES.values()).repartition(parts, *SESSION)
+    long = known_soc.join(of_session, SESSION).select(*SESSION, "bands", "tmin", series).select(*SESSION, "bands", "tmin", "x.series", F.abs("x.amps").alias("amps"))
     long = long.withColumns({"_first": F.row_number().over(by_time("tmin", "amps")) == 1, "_last": F.row_number().over(by_time(F.desc("tmin"), "amps")) == 1})
     point = lambda b, at, amps: F.struct(b.alias("band"), at.alias("tmin"), amps.alias("amps"))
     known = F.col("amps").isNotNull()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, fingerprints, language_id, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, substring_dedup
+from . import chat, conversations, exact_dedup, fill_in_middle, fingerprints, language_id, licenses, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, substring_dedup
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_chat": chat.query,
         "op9_fingerprints": fingerprints.query,
         "op10_mixing": mixing.query,
+        "op11_fill_in_middle": fill_in_middle.query,
+        "op12_conversation_repair": conversations.query,
+        "op13_licenses": licenses.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.ORACLE}
+    return {"op3_exact_dedup": exact_dedup.ORACLE, "op11_fill_in_middle": fill_in_middle.ORACLE}

@@ -20,10 +20,9 @@ def to_double(c: Column) -> Column:
 def clock(c: Column) -> Column:
     """A wall-clock time as microseconds, for differences: each day has 24 hours,
     whatever the session's time zone."""
-    t = c.cast("timestamp_ntz")
-    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    micros = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long")
-    return ((days * 24 + F.hour(t)) * 60 + F.minute(t)) * 60_000_000 + micros
+    since = c.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    # An interval is a number of microseconds; to a decimal of seconds it goes without loss.
+    return (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("long")
 
 
 def wall(micros: Column) -> Column:
@@ -33,7 +32,8 @@ def wall(micros: Column) -> Column:
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
-    return (clock(later) - clock(earlier)) / 1e6
+    gap = later.cast("timestamp_ntz") - earlier.cast("timestamp_ntz")
+    return gap.cast("interval second").cast("decimal(18,6)").cast("double")
 
 
 def fused(master: Column, slave: Column, how: str) -> Column:

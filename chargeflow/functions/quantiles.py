@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from ..storage import written
 
 
-def quantiles(rows: DataFrame, value: Column, shares: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def quantiles(rows: DataFrame, value: Column, shares: Sequence[float], by: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
     """``by`` and ``quantiles``, an array in the order of ``shares``: linear between
     the two neighbours, as ``percentile`` gives them. Null values are left out.
+    ``weight``: how many times each row counts, once without.
 
     Equal values are counted, the counts are dealt to ranges of values and
     cumulated there; the sums of ranges before (a row a range) give the offset.
     """
     keys = [F.col(k) for k in by]
-    counts = rows.select(*keys, value.cast("double").alias("_v")).filter("_v is not null").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    times = F.lit(1).cast("long") if weight is None else weight.cast("long")
+    counts = rows.select(*keys, value.cast("double").alias("_v"), times.alias("_w")).filter("_v is not null").groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"))
     dealt = written(counts.repartitionByRange(*keys, "_v").withColumn("_p", F.spark_partition_id()))
     own = list(by) or [F.lit(0)]
     sums = dealt.groupBy(*by, "_p").agg(F.sum("_c").alias("_s"))

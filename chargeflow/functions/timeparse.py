@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..settings import DEFAULTS
+from . import clock_scan
 from .columns import clock, wall
 
 # The accepted forms.
@@ -58,8 +57,8 @@ def parse_local(rows: DataFrame, text: str, month: str, keys: Sequence[str], ord
     begin of ``month`` (``YYYY-MM``), never falling within a run of numbers;
     ``MMM:SS`` with minutes that are no hour are minutes since then, or a second
     after the row before if that would go back. Bad values are null and carry
-    nothing. Only files that hold ``MMM:SS`` go through a Python loop, one file
-    a group; all others are windows in file order.
+    nothing. Files that hold ``MMM:SS``, whose rows depend on all before, are
+    scanned in blocks (see ``clock_scan``); all others are windows in file order.
     """
     t = F.col(text)
     start = F.to_timestamp_ntz(F.concat(F.col(month), F.lit("-01")), F.lit("yyyy-MM-dd"))
@@ -69,7 +68,13 @@ def parse_local(rows: DataFrame, text: str, month: str, keys: Sequence[str], ord
     seconds = F.when(F.col("_kind") == "number", F.trim(t).try_cast("double")).when(F.col("_kind") == "minutes", (_group(t, MINUTES, 1) * 60 + _group(t, MINUTES, 2)).cast("double"))
     rows = rows.withColumns({"_tod": F.when(F.col("_kind") == "clock", second_of_day), "_sec": seconds})
     file_ = Window.partitionBy(*keys)
-    rows = rows.withColumn("_loop", F.coalesce(F.max(F.col("_kind") == "minutes").over(file_), F.lit(False)))
+    own = [f"_key{i}" for i in range(len(keys))]
+    # One row a file with such values; a file's rows stay where they are.
+    looping = rows.filter("_kind = 'minutes'").select(*[F.col(k).alias(o) for k, o in zip(keys, own)]).distinct().withColumn("_loop", F.lit(True))
+    same = F.lit(True)
+    for k, o in zip(keys, own):
+        same = same & F.col(k).eqNullSafe(F.col(o))
+    rows = rows.join(looping, same, "left").drop(*own).withColumn("_loop", F.coalesce("_loop", F.lit(False)))
 
     plain = rows.filter(~F.col("_loop"))
     w = file_.orderBy(*order)
@@ -94,33 +99,13 @@ def parse_local(rows: DataFrame, text: str, month: str, keys: Sequence[str], ord
     names = [c for c in rows.columns if not c.startswith("_")]
     plain = plain.select(*names, F.when(F.col("_kind") == "clock", clocked).otherwise(F.col("_anchor")).alias("ts_local"))
 
-    looped = rows.filter("_loop")
-    schema = ", ".join(f"`{n}` {k}" for n, k in looped.select(*names).dtypes) + ", ts_local timestamp_ntz"
-    return plain.unionByName(looped.groupBy(*keys).applyInPandas(_loop(list(order), names), schema))
-
-
-def _loop(order: list[str], names: list[str]):
-    """One file with ``MMM:SS`` values: each depends on the value before."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        start = pdf["_start"].iloc[0].to_pydatetime()
-        last, held, out = start, None, []
-        for kind, at, tod, sec in zip(pdf["_kind"], pdf["_abs"], pdf["_tod"], pdf["_sec"]):
-            now = None
-            if kind == "abs":
-                now, held = at.to_pydatetime(), None
-            elif kind == "clock":
-                now = datetime(last.year, last.month, last.day) + timedelta(seconds=float(tod))
-                now, held = now + timedelta(days=now < last), None
-            elif kind == "minutes":
-                now, held = start + timedelta(seconds=float(sec)), None
-                now = now if now >= last else last + timedelta(seconds=1)
-            elif kind == "number":
-                held = sec if held is None else max(held, sec)
-                now = start + timedelta(seconds=float(held))
-            last = now or last
-            out.append(now)
-        return pdf[names].assign(ts_local=pd.Series(out, index=pdf.index, dtype="datetime64[us]"))
-
-    return run
+    since_start = clock(F.col("_start")) + F.round(F.col("_sec") * 1e6).cast("long")
+    at = F.when(F.col("_kind") == "abs", clock(F.col("_abs"))).when(F.col("_kind") == "clock", F.col("_tod").cast("long") * 1_000_000).otherwise(since_start)
+    code = F.lit(-1)
+    for kind, number in clock_scan.KINDS.items():
+        code = F.when(F.col("_kind") == kind, number).otherwise(code)
+    # Without a month, what counts from its begin is bad.
+    scan = rows.filter("_loop").withColumns({"_at": at, "_base": F.coalesce(clock(F.col("_start")), F.lit(0)).cast("long")})
+    scan = scan.withColumn("_code", F.when(F.col("_at").isNull(), -1).otherwise(code).cast("long")).select(*names, "_code", "_at", "_base")
+    looped = clock_scan.times_in_order(scan, keys, order)
+    return plain.unionByName(looped.select(*names, wall(F.col("_us")).alias("ts_local")))

@@ -26,14 +26,46 @@ def align_nearest(samples: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     no range join, and no pair of rows that doesn't belong together is formed.
     An absent unit gives null columns; an empty input an empty result.
     """
+    return _attached(samples.filter("ts_local is not null").repartition(*KEYS), KEYS, settings)
+
+
+def chunk_of(micros: Column, chunk_s: float) -> Column:
+    """The number of the stretch of ``chunk_s`` seconds that a ``clock`` value is in."""
+    width = int(chunk_s * 1e6)
+    return ((micros - F.pmod(micros, F.lit(width))) / width).cast("long")
+
+
+def align_in_chunks(samples: DataFrame, settings: Settings = DEFAULTS, chunk_s: float = 86_400.0, keep_chunk: bool = False) -> DataFrame:
+    """The rows of ``align_nearest``, with each vehicle's month dealt out in stretches of
+    ``chunk_s`` seconds, so that a chatty vehicle's month is never in one task.
+
+    A sample goes to its own stretch and, within the tolerance of an edge, to the
+    neighbour too; each time is answered by the stretch that it lies in alone. What a
+    time can be attached to is thus always beside it, and nothing else is copied.
+    Months stay apart as in ``align_nearest``. ``keep_chunk`` keeps the stretch, so
+    that minutes can be grouped within it without another shuffle (stretches must
+    then be whole minutes).
+    """
+    reach = int(settings.tolerance_s * 1e6)
+    if chunk_s * 1e6 <= reach:
+        raise ValueError("a stretch must be longer than the tolerance")
+    keys, at = [*KEYS, "chunk"], clock(F.col("ts_local"))
+    near = F.array_distinct(F.array(*[chunk_of(at + d, chunk_s) for d in (-reach, 0, reach)]))
+    dealt = samples.filter("ts_local is not null").withColumn("chunk", F.explode(near)).repartition(*keys)
+    out = _attached(dealt, keys, settings).filter(F.col("chunk") == chunk_of(at, chunk_s))
+    return out if keep_chunk else out.drop("chunk")
+
+
+def _attached(samples: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
+    """The nearest samples of both units for each time, within each of ``keys``."""
     sample = {
         "master": F.struct("ts_local", *MASTER_FIELDS),
         "slave": F.struct("ts_local", *SLAVE_FIELDS),
     }
     at = [F.max_by(F.when(F.col("unit") == u, s), F.when(F.col("unit") == u, F.col("seq"))).alias(u) for u, s in sample.items()]
-    spine = samples.filter("ts_local is not null").repartition(*KEYS).groupBy(*KEYS, "ts_local").agg(*at)
-    onward = Window.partitionBy(*KEYS).orderBy("ts_local").rowsBetween(Window.unboundedPreceding, 0)
-    backward = Window.partitionBy(*KEYS).orderBy(F.col("ts_local").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    spine = samples.groupBy(*keys, "ts_local").agg(*at)
+    onward = Window.partitionBy(*keys).orderBy("ts_local").rowsBetween(Window.unboundedPreceding, 0)
+    backward = Window.partitionBy(*keys).orderBy(F.col("ts_local").desc()).rowsBetween(Window.unboundedPreceding, 0)
 
     def nearest(unit: str) -> Column:
         before, after = F.col(f"_{unit}_before"), F.col(f"_{unit}_after")
@@ -44,17 +76,17 @@ def align_nearest(samples: DataFrame, settings: Settings = DEFAULTS) -> DataFram
         return F.when(gap <= int(settings.tolerance_s * 1e6), found)
 
     around = spine.select(
-        *KEYS,
+        *keys,
         "ts_local",
         *[F.last(u, True).over(onward).alias(f"_{u}_before") for u in sample],
         *[F.last(u, True).over(backward).alias(f"_{u}_after") for u in sample],
     )
-    joined = around.select(*KEYS, "ts_local", nearest("master").alias("m"), nearest("slave").alias("s"))
+    joined = around.select(*keys, "ts_local", nearest("master").alias("m"), nearest("slave").alias("s"))
     m, s = F.col("m"), F.col("s")
     both = []
     for name, how in (("soc", "first"), ("voltage", "mean"), ("current", "sum")):
         both += [fused(m[name], s[name], how).alias(name), m[name].alias(f"{name}_master"), s[name].alias(f"{name}_slave")]
-    return joined.select(*KEYS, "ts_local", *both, *[m[c].alias(c) for c in MASTER_FIELDS if c not in SLAVE_FIELDS])
+    return joined.select(*keys, "ts_local", *both, *[m[c].alias(c) for c in MASTER_FIELDS if c not in SLAVE_FIELDS])
 
 
 SQL = """

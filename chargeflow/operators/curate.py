@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +15,14 @@ def minute_of(ts: str = "ts_local"):
     return F.col(ts) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.extract(F.lit("SECOND"), F.col(ts)))
 
 
-def curate_minute(aligned: DataFrame) -> DataFrame:
+def curate_minute(aligned: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """A row per vehicle, month and minute: the last known charge and odometer,
-    the mean of everything else. Minutes without samples have no row."""
+    the mean of everything else. Minutes without samples have no row. Rows that
+    are dealt out by further ``keys``, of which a minute has one, stay where they are."""
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ts_local"))).alias(c) for c in LAST_FIELDS]
     mean = [F.avg(c).alias(c) for c in MEAN_FIELDS]
     rows = aligned.filter("ts_local is not null").withColumn("minute", minute_of())
-    return rows.groupBy(*KEYS, "minute").agg(*last, *mean)
+    return rows.groupBy(*keys, "minute").agg(*last, *mean)
 
 
 def with_power_idle(curated: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.columns import seconds_between
@@ -20,22 +22,30 @@ def sign_of(median: Column, correlation: Column) -> Column:
     return F.when(median.isNull(), by_correlation).when(median > 0, -1).otherwise(1)
 
 
+def together(over: WindowSpec | None = None, change: str = "dsoc") -> Column:
+    """Above 0 if current and change of charge rise together (unknown ones as 0); null
+    where either is the same in all rows. Of the correlation only the sign is asked,
+    and a division by a spread of 0 would end the job."""
+    x, y = F.coalesce("current", F.lit(0.0)), F.coalesce(change, F.lit(0.0))
+    on = (lambda c: c) if over is None else (lambda c: c.over(over))
+    varies = (on(F.max(x)) > on(F.min(x))) & (on(F.max(y)) > on(F.min(y)))
+    return F.when(varies, on(F.covar_pop(x, y)))
+
+
 def with_charge_sign(curated: DataFrame) -> DataFrame:
     """Adds ``dsoc``, the change of charge since the row before, and ``sign`` of the
     vehicle's month. All by windows over one partitioning: no further shuffle."""
     rows = curated.withColumn("dsoc", F.col("soc") - F.lag("soc").over(_order()))
     month = Window.partitionBy(*KEYS)
     rising = F.median(F.when(F.col("dsoc") > 0, F.col("current"))).over(month)
-    together = F.corr(F.coalesce("current", F.lit(0.0)), F.coalesce("dsoc", F.lit(0.0))).over(month)
-    return rows.withColumn("sign", sign_of(rising, F.when(~F.isnan(together), together)))
+    return rows.withColumn("sign", sign_of(rising, together(month)))
 
 
 def charge_sign(curated: DataFrame) -> DataFrame:
     """``sign`` of each vehicle's month."""
     rows = curated.withColumn("dsoc", F.col("soc") - F.lag("soc").over(_order()))
-    both = F.corr(F.coalesce("current", F.lit(0.0)), F.coalesce("dsoc", F.lit(0.0)))
-    found = rows.groupBy(*KEYS).agg(F.median(F.when(F.col("dsoc") > 0, F.col("current"))).alias("m"), both.alias("c"))
-    return found.select(*KEYS, sign_of(F.col("m"), F.when(~F.isnan("c"), F.col("c"))).alias("sign"))
+    found = rows.groupBy(*KEYS).agg(F.median(F.when(F.col("dsoc") > 0, F.col("current"))).alias("m"), together().alias("c"))
+    return found.select(*KEYS, sign_of(F.col("m"), F.col("c")).alias("sign"))
 
 
 def charge_mask(settings: Settings = DEFAULTS) -> Column:
@@ -52,11 +62,11 @@ def charge_mask(settings: Settings = DEFAULTS) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def split_sessions(masked: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Adds ``session_id`` (1, 2, ... in each vehicle's month; null outside) to rows
-    with a boolean ``charging``: a gap of more than ``session_gap_min`` between
-    charging minutes begins a new session."""
-    w = _order()
+def split_sessions(masked: DataFrame, settings: Settings = DEFAULTS, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Adds ``session_id`` (1, 2, ... in each vehicle's month, or other ``keys``; null
+    outside) to rows with a boolean ``charging``: a gap of more than
+    ``session_gap_min`` between charging minutes begins a new session."""
+    w = Window.partitionBy(*keys).orderBy("minute")
     before = F.last(F.when(F.col("charging"), F.col("minute")), True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = masked.withColumn("_before", before)
     fresh = F.col("_before").isNull() | (seconds_between(F.col("minute"), F.col("_before")) > settings.session_gap_min * 60)
@@ -111,6 +121,11 @@ def session_quality(minutes: DataFrame, settings: Settings = DEFAULTS) -> DataFr
         F.median(F.abs("current")).alias("median_abs_current"),
         energy["total_energy_kwh"].alias("total_energy_kwh"),
     )
+    return with_reasons(found, settings)
+
+
+def with_reasons(found: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Adds ``reasons``, what a session falls short of."""
     checks = {
         "duration": F.col("duration_min") < settings.min_session_min,
         "delta_soc": F.col("delta_soc") < settings.min_delta_soc,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import bucket_label, bucket_middle, current_bucket, seconds_between
 from ..settings import CURRENT_EDGES, SESSION
 from ..storage import written
+from .sessions import sign_of, together
 
 SERIES = {"pack": "current", "master": "current_master", "slave": "current_slave"}
 
@@ -22,10 +23,7 @@ def charging_rows(rct: DataFrame, keys: list[str] | None = None) -> DataFrame:
     rows = rct.withColumn("_ds", F.col("soc") - F.lag("soc").over(order))
     whole = Window.partitionBy(*keys)
     rising = F.median(F.when(F.col("_ds") > 0, F.col("current"))).over(whole)
-    together = F.corr(F.coalesce("current", F.lit(0.0)), F.coalesce("_ds", F.lit(0.0))).over(whole)
-    from .sessions import sign_of
-
-    rows = rows.withColumn("sign", sign_of(rising, F.when(~F.isnan(together), together)))
+    rows = rows.withColumn("sign", sign_of(rising, together(whole, "_ds")))
     have = [c for c in SERIES.values() if c in rct.columns]
     charging = F.lit(False)
     for c in have:

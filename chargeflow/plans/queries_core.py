@@ -188,6 +188,14 @@ QUERIES: dict[str, tuple[Query, str]] = {
     ),
     "u1_timestamp_spine": (lambda s, d: align.timestamp_spine(samples(s, d)), sql("telemetry", f"SELECT DISTINCT {K}, ts_local FROM telemetry")),
     "j1_align_asof": (lambda s, d: rounded(aligned(s, d).select(*KEYS, "ts_local", *ALIGNED)), sql("aligned", f"SELECT {K}, ts_local, {r(*ALIGNED)} FROM aligned")),
+    "j1_align_in_chunks": (
+        lambda s, d: rounded(align.align_in_chunks(samples(s, d), chunk_s=300).select(*KEYS, "ts_local", *ALIGNED)),
+        sql("aligned", f"SELECT {K}, ts_local, {r(*ALIGNED)} FROM aligned"),
+    ),
+    "a1_curate_in_chunks": (
+        lambda s, d: rounded(curate.curate_minute(align.align_in_chunks(samples(s, d), chunk_s=600, keep_chunk=True), [*KEYS, "chunk"]).select(*KEYS, "minute", *ALIGNED)),
+        sql("curated", f"SELECT {K}, minute, {r(*[c for c in ALIGNED if c != 'km'])}, round(km0 + 1e-9, 6) + 0.0 AS km FROM minutes"),
+    ),
     "a1_curate_minute": (
         lambda s, d: rounded(curate.curate_minute(aligned(s, d)).select(*KEYS, "minute", *ALIGNED)),
         sql("curated", f"SELECT {K}, minute, {r(*[c for c in ALIGNED if c != 'km'])}, round(km0 + 1e-9, 6) + 0.0 AS km FROM minutes"),

@@ -125,7 +125,7 @@ def _m5_given(spark, d):
     return evaluate.success_checks(evaluate.regression_metrics(rows, ["model", "split"]))
 
 
-GIVEN = [("ridge", "test", 0.5), ("ridge", "val", 0.6), ("gbt", "test", 0.7), ("gbt", "val", 0.68)]
+GIVEN = [("ridge", "test", 0.5), ("ridge", "val", 0.62), ("gbt", "test", 0.7), ("gbt", "val", 0.68)]
 
 
 def _k2(spark, d):
@@ -133,9 +133,17 @@ def _k2(spark, d):
     return model.top_importances(_tree(rows)[0], rows)
 
 
-def _streamed(rows: DataFrame, transform) -> DataFrame:
+def streamed(rows: DataFrame, transform, state_store: str | None = None) -> DataFrame:
     """What a stream over the written rows has put out once it has read them all."""
     spark = rows.sparkSession
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if state_store and spark.conf.get(key) != state_store:
+        used = spark.conf.get(key)
+        spark.conf.set(key, state_store)
+        try:
+            return streamed(rows, transform)
+        finally:
+            spark.conf.set(key, used)
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     rows.write.parquet(f"{folder}/in")
     out = transform(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
@@ -145,12 +153,12 @@ def _streamed(rows: DataFrame, transform) -> DataFrame:
 
 
 def _r1(spark, d):
-    return rounded(_streamed(aligned(spark, d).select(*KEYS, "ts_local", *ALIGNED), live.stream_curate_minute).select(*KEYS, "minute", *ALIGNED))
+    return rounded(streamed(aligned(spark, d).select(*KEYS, "ts_local", *ALIGNED), live.stream_curate_minute).select(*KEYS, "minute", *ALIGNED))
 
 
 def _r2(spark, d):
     rows = sessioned(spark, d).filter("charging").select("vehicle_id", F.col("minute").alias("ts_local"))
-    return _streamed(rows, live.stream_sessions).select("vehicle_id", "started", "ended", "n")
+    return streamed(rows, live.stream_sessions).select("vehicle_id", "started", "ended", "n")
 
 
 def _k3(spark, d):
@@ -193,7 +201,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "m5_success_checks": (_m5, ""),
     "m5_checks_of_given_errors": (
         _m5_given,
-        sql("rct", "SELECT max(e) FILTER (m = 'gbt/val') <= 1.1 * max(e) FILTER (m = 'gbt/test') AS stable, max(e) FILTER (m = 'gbt/test') <= 0.8 * max(e) FILTER (m = 'ridge/test') AS better_than_linear FROM ("
+        sql("rct", "SELECT max(e) FILTER (m = 'gbt/val') <= 1.1 * max(e) FILTER (m = 'gbt/test') AS stable, max(e) FILTER (m = 'gbt/val') <= 0.8 * max(e) FILTER (m = 'ridge/val') AS better_than_linear FROM ("
             + " UNION ALL ".join(f"SELECT '{m}/{s}' AS m, sqrt(avg((rct_minutes - rct_minutes * {f}) * (rct_minutes - rct_minutes * {f}))) AS e FROM rct" for m, s, f in GIVEN) + ")"),
     ),
     "k2_top_importances": (_k2, ""),

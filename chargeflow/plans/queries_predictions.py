@@ -114,7 +114,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     ),
     "a13_metrics_by_soc_band": (
         lambda s, d: _metrics(E.metrics_by_soc_band(predictions(s, d), "rct_minutes", "predicted_rct")),
-        sql("rct", f"SELECT soc_lo, {r(*METRICS)}, n FROM (SELECT (ceil(soc / 20) * 20 - 20)::INT AS soc_lo, {METRICS_SQL} FROM errors WHERE soc > 0 AND soc <= 100 GROUP BY 1)", P.SQL, ERRORS),
+        sql("rct", f"SELECT soc_lo, {r(*METRICS)}, n FROM (SELECT CASE WHEN soc <= 20 THEN 0 WHEN soc <= 40 THEN 20 WHEN soc <= 60 THEN 40 WHEN soc <= 80 THEN 60 ELSE 80 END AS soc_lo, {METRICS_SQL} FROM errors WHERE soc >= 0 AND soc <= 100 GROUP BY 1)", P.SQL, ERRORS),
     ),
     "a14_metrics_by_current_decile": (
         lambda s, d: _metrics(E.metrics_by_current_decile(predictions(s, d), "rct_minutes", "predicted_rct")),
@@ -131,7 +131,9 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "a16_session_soc_ranges": (lambda s, d: rounded(P.session_soc_ranges(ready(s, d))), sql("rct", f"SELECT {S}, {r('soc_min', 'soc_max', 'soc_span')} FROM ranges", P.SQL)),
     "a17_avg_prediction_by_band": (
         lambda s, d: rounded(E.avg_prediction_by_band(predictions(s, d), "predicted_rct")),
-        sql("rct", "SELECT soc_lo, round(m + 1e-9, 6) + 0.0 AS mean_prediction, round((SELECT sum(m) FROM b) + 1e-9, 6) + 0.0 AS sum_of_means, round((SELECT max(m) FILTER (soc_lo = 20) - max(m) FILTER (soc_lo = 75) FROM b) + 1e-9, 6) + 0.0 AS first_less_last FROM b", P.SQL, "b AS (SELECT (floor(soc / 5) * 5)::INT AS soc_lo, avg(predicted_rct) AS m FROM predicted WHERE soc >= 20 AND soc < 80 GROUP BY 1)"),
+        sql("rct", """SELECT lo::INT AS soc_lo, round(avg(predicted_rct) + 1e-9, 6) + 0.0 AS mean_prediction, round((SELECT sum(predicted_rct) FROM predicted WHERE soc BETWEEN 20 AND 80) + 1e-9, 6) + 0.0 AS total_prediction,
+          round((SELECT avg(predicted_rct) FILTER (soc BETWEEN 20 AND 25) - avg(predicted_rct) FILTER (soc BETWEEN 75 AND 80) FROM predicted) + 1e-9, 6) + 0.0 AS first_less_last
+          FROM predicted JOIN (SELECT unnest(range(20, 80, 5)) AS lo) ON (soc > lo OR (lo = 20 AND soc = 20)) AND soc <= lo + 5 GROUP BY lo""", P.SQL),
     ),
     "w6_smooth_median3": (lambda s, d: rounded(P.smooth_median3(predictions(s, d)).select(*SESSION, "timestamp_local", "smooth")), sql("rct", f"SELECT {S}, timestamp_local, {r('smooth')} FROM smoothed", P.SQL)),
     "w7_monotone_decreasing": (lambda s, d: rounded(ready(s, d).select(*SESSION, "timestamp_local", "monotone")), sql("rct", f"SELECT {S}, timestamp_local, {r('monotone')} FROM prepared", P.SQL)),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_bands, queries_core, queries_io, queries_predictions
+from . import queries_bands, queries_core, queries_io, queries_months, queries_predictions
 
-MODULES = [queries_core, queries_bands, queries_predictions, queries_io]
+MODULES = [queries_core, queries_bands, queries_predictions, queries_io, queries_months]
 
 
 def queries() -> dict:

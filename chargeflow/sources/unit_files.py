@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import to_double
 from ..functions.timeparse import parse_local
 from ..settings import DEFAULTS, FEATURES, LABEL, MASTER_FIELDS, SLAVE_FIELDS
+from ..storage import delete, exists
+from ..storage import names as held_files
 
 # Accepted headers of each field, in order of preference.
 TIME_HEADERS = ["timestamp", "time", "date", "datetime", "dt"]
@@ -124,15 +126,45 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(header=True, inferSchema=True).csv(path) if path.lower().endswith(".csv") else spark.read.parquet(path)
 
 
-def write_monthly(df: DataFrame, path: str, csv: bool = False) -> None:
-    """One folder a month; together they are the whole table."""
-    writer = df.write.mode("overwrite").partitionBy("yyyymm")
+#: Where the three monthly tables go.
+MONTHLY_TABLES = {"curated": "curated/rows", "rct": "features/rct", "soc_intervals": "analytics/soc_intervals"}
+
+
+def write_monthly(df: DataFrame, path: str, csv: bool = False, months: Sequence[str] | None = None, max_rows: int = 5_000_000) -> None:
+    """One folder a month; together they are the whole table. The months of ``df`` are
+    replaced, all others stay: a month can be run again, and a rerun leaves what the
+    first run left. ``months``: the months that ``df`` stands for; those without rows
+    lose their folder, and rows of others are not written. A month's rows are dealt
+    over as many tasks as they need, and no file has more than ``max_rows``.
+    """
+    spark = df.sparkSession
+    rows = filter_months(df, months)
+    before = {m: held_files(spark, f"{path}/yyyymm={m}") for m in months or ()}
+    # New files are staged and take the place of a month's old ones when all are written.
+    writer = rows.hint("rebalance", F.col("yyyymm")).write.mode("overwrite").partitionBy("yyyymm").options(partitionOverwriteMode="dynamic", maxRecordsPerFile=max_rows)
     writer.option("header", True).csv(path) if csv else writer.parquet(path)
+    for month, old in before.items():
+        if old & held_files(spark, f"{path}/yyyymm={month}"):  # nothing took its place
+            delete(spark, f"{path}/yyyymm={month}")
+
+
+def write_months(tables: dict[str, DataFrame], path: str, months: Sequence[str] | None = None) -> None:
+    """The monthly tables (MONTHLY_TABLES) of a run, labelled minutes as CSV too."""
+    for name, df in tables.items():
+        write_monthly(df, f"{path}/{MONTHLY_TABLES[name]}", months=months)
+        if name == "rct":
+            write_monthly(df, f"{path}/{MONTHLY_TABLES[name]}_csv", csv=True, months=months)
+
+
+def read_months(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The consolidated tables that ``write_months`` has written."""
+    return {name: consolidate_curated(spark, f"{path}/{place}", months) for name, place in MONTHLY_TABLES.items() if exists(spark, f"{path}/{place}")}
 
 
 def consolidate_curated(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
     """All months of a written table, or some of them by their folders alone."""
-    return filter_months(spark.read.parquet(path), months)
+    rows = spark.read.parquet(path)
+    return filter_months(rows.withColumn("yyyymm", F.col("yyyymm").cast("string")), months)
 
 
 def union_months(tables: list[DataFrame]) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,38 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Deletes a file or folder of any file system that Spark knows; false if there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def names(spark: SparkSession, folder: str) -> set[str]:
+    """What a folder holds; nothing where there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
+
+
+@contextmanager
+def owned(*frames: DataFrame) -> Iterator[list[DataFrame]]:
+    """``frames`` written once and read back, for as long as the block lasts: what is
+    made of them must be written or collected in it. Their files are deleted then."""
+    spark = frames[0].sparkSession
+    folder = f"{shared_folder(spark)}/owned-{uuid.uuid4().hex}"
+    try:
+        for i, df in enumerate(frames):
+            df.write.parquet(f"{folder}/{i}")
+        yield [spark.read.schema(df.schema).parquet(f"{folder}/{i}") for i, df in enumerate(frames)]
+    finally:
+        delete(spark, folder)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once and read back, for plans that use it several times."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"

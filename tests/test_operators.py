@@ -119,7 +119,7 @@ def test_metrics(spark):
     assert (whole.n, whole.mae, whole.p90, whole.median_prediction) == (3, 2.0, pytest.approx(2.8), 1.5) and whole.mape == pytest.approx((0.2 + 0.75) / 2 * 100)
     by = {r.g: r.n for r in evaluate.regression_metrics(rows, ["g"]).collect()}
     assert by == {"a": 2, None: 1}
-    scores = spark.createDataFrame([("gbt", "val", 1.0), ("gbt", "test", 1.0), ("ridge", "test", 1.2)], "model string, split string, rmse double")
+    scores = spark.createDataFrame([("gbt", "val", 1.0), ("gbt", "test", 1.0), ("ridge", "val", 1.2)], "model string, split string, rmse double")
     assert tuple(evaluate.success_checks(scores).first()) == (True, False)
 
 

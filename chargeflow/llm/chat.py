@@ -42,11 +42,21 @@ class Template:
 
     def codes(self) -> dict[str, str]:
         """The characters that texts don't hold as such, and what stands for them. Of a
-        mark that is more than white space, that is its first other character."""
+        mark that is more than white space, that is its first other character. The
+        letters that follow ``escape`` are none of these. An error, where what is
+        formatted could not be read back."""
         if not self.mid or not self.end:
             raise ValueError("a turn needs a mark after its role and one at its end")
+        if len(self.escape) != 1:
+            raise ValueError("the escape is one character")
+        names = list(self.names.values())
+        if len(set(names)) < len(names) or any(n[:1] in ("?", self.escape) for n in names):
+            raise ValueError("roles' names differ, and none begins like an unknown role's")
+        if any((n + self.mid).index(self.mid) < len(n) for n in names):
+            raise ValueError("a role's name holds the mark that follows it")
         special = dict.fromkeys([self.escape, *((m.strip() or m)[0] for m in (self.start, self.mid, self.end) if m)])
-        return {c: self.escape + chr(97 + i) for i, c in enumerate(special)}
+        letters = (c for c in map(chr, range(97, 123)) if c not in special)
+        return {c: self.escape + letter for c, letter in zip(special, letters)}
 
 
 def _escaper(template: Template):
@@ -64,6 +74,31 @@ def _unescaper(template: Template):
     return run
 
 
+def segments_of(turns: list[dict], template: Template, escaped) -> list[dict]:
+    """Three segments a turn: its head, its text, its end."""
+    out = []
+    for t in turns:
+        name = template.names.get(t["role"]) or escaped("?" + t["role"])
+        out.append({"text": template.start + name + template.mid, "loss": False})
+        out.append({"text": escaped(t["text"]), "loss": t["role"] in template.trained})
+        out.append({"text": template.end, "loss": False})
+    return out
+
+
+def turns_of(text: str, template: Template, plain) -> list[dict]:
+    """The turns of a formatted conversation."""
+    roles = {v: k for k, v in template.names.items()}
+    out, begin = [], 0
+    while begin < len(text):
+        begin += len(template.start)
+        mid = text.index(template.mid, begin)
+        end = text.index(template.end, mid + len(template.mid))
+        name, body = text[begin:mid], text[mid + len(template.mid) : end]
+        out.append({"role": roles[name] if name in roles else plain(name)[1:], "text": plain(body)})
+        begin = end + len(template.end)
+    return out
+
+
 def validate(roles: list[str], template: Template) -> int | None:
     """The first turn that the machine refuses; the number of turns if it may not
     end there; None if the order is valid."""
@@ -102,13 +137,7 @@ def format_chats(rows: DataFrame, template: Template | None = None) -> DataFrame
                 bad, segments = [], []
                 for turns in part.column(1).to_pylist():
                     bad.append(validate([t["role"] for t in turns], template))
-                    out = []
-                    for t in turns:
-                        name = template.names.get(t["role"]) or escaped("?" + t["role"])
-                        out.append({"text": template.start + name + template.mid, "loss": False})
-                        out.append({"text": escaped(t["text"]), "loss": t["role"] in template.trained})
-                        out.append({"text": template.end, "loss": False})
-                    segments.append(out)
+                    segments.append(segments_of(turns, template, escaped))
                 kind = pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))
                 counts = pa.array([len(s) // 3 for s in segments], pa.int64())
                 yield pa.record_batch([part.column(0), counts, pa.array(bad, pa.int64()), pa.array(segments, kind)], names=["conv_id", "n_turns", "bad_turn", "segments"])
@@ -125,7 +154,6 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = _unescaper(template)
-        roles = {v: k for k, v in template.names.items()}
         for b in batches:
             for at in range(0, len(b), 64):
                 part = b.slice(at, 64)
@@ -133,15 +161,7 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
                 for segments in part.column("segments").to_pylist():
                     text = "".join(s["text"] for s in segments)
                     chars.append(len(text))
-                    parsed, begin = [], 0
-                    while begin < len(text):
-                        begin += len(template.start)
-                        mid = text.index(template.mid, begin)
-                        end = text.index(template.end, mid + len(template.mid))
-                        name, body = text[begin:mid], text[mid + len(template.mid) : end]
-                        parsed.append({"role": roles[name] if name in roles else plain(name)[1:], "text": plain(body)})
-                        begin = end + len(template.end)
-                    turns.append(parsed)
+                    turns.append(turns_of(text, template, plain))
                     under.append([plain(s["text"]) for s in segments if s["loss"]])
                 kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
                 yield pa.record_batch(

@@ -195,20 +195,20 @@ def train(docs: DataFrame, allowed, text_col: str = "text", lang_col: str = "lan
     return Model(table, [np.frombuffer(r.grams, np.int32).astype(np.int64) for r in rows], [r.lang for r in rows])
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``lang_score`` (0 to 1) to ``docs``, which keeps
-    its columns (those two are replaced). Null texts and texts without letters
+def identify(docs: DataFrame, model: Model, text_col: str = "text", pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
+    """Adds ``lang_pred`` and ``lang_score`` (0 to 1; or other names) to ``docs``, which
+    keeps its columns (those two are replaced). Null texts and texts without letters
     are ``und`` with score 0, as is everything if there was nothing to learn from."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("lang_pred", "lang_score")
+    docs = docs.drop(pred, score)
     column = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, scores = held.value.predict(b.column(column).to_pylist())
-            yield pa.record_batch([*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, "lang_pred", "lang_score"])
+            yield pa.record_batch([*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, pred, score])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 

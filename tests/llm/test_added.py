@@ -9,9 +9,11 @@ from functools import cache
 
 import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from chargeflow.llm import conversations, fill_in_middle, frames, licenses
+from chargeflow.llm import chat, conversations, fill_in_middle, frames, licenses
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 ODD = ["", None, " ", "\n\t ", "a", " a", "a ", "ab  cd\x0bef", "漢字 é 😀 x", "holds <P> itself", "<S>", "x" * 300_000, "word " * 60_000, "< P> <", "<", "a <M", "  b\x1cc"]
@@ -326,3 +328,29 @@ def test_license_query(spark, sf_dir):
     got = licenses.query(spark, sf_dir).collect()
     assert {r.doc_id: tuple(r)[1:6] for r in got} == {i: plain_scan(t)[:5] for i, t in texts.items()}
     assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in got)
+
+
+# ---------------------------------------------------------------- chat templates
+
+MARK = st.text("ab:#< \n!\\?", max_size=4)
+
+
+@settings(max_examples=300, deadline=None)
+@given(MARK, MARK, MARK, st.sampled_from(["\\", "a", ":", "ab", ""]), st.lists(MARK, min_size=2, max_size=2), st.lists(st.tuples(st.sampled_from(["user", "assistant", "tool", ":", "a b", ""]), st.text("ab:#< \n!\\?dce", max_size=8)), max_size=4))
+def test_templates_read_back_or_are_refused(start, mid, end, escape, names, turns):
+    template = chat.Template(start=start, mid=mid, end=end, escape=escape, names=dict(zip(("user", "assistant"), names)))
+    try:
+        template.codes()
+    except ValueError:
+        return
+    turns = [{"role": r, "text": t} for r, t in turns]
+    text = "".join(s["text"] for s in chat.segments_of(turns, template, chat._escaper(template)))
+    assert chat.turns_of(text, template, chat._unescaper(template)) == turns
+
+
+def test_templates_of_the_review():
+    template = chat.Template(start="", mid=": ", end="b!")
+    segments = chat.segments_of([{"role": "user", "text": ":!"}], template, chat._escaper(template))
+    assert chat.turns_of("".join(s["text"] for s in segments), template, chat._unescaper(template)) == [{"role": "user", "text": ":!"}]
+    with pytest.raises(ValueError):
+        chat.Template(names={"user": "User: human", "assistant": "A"}).codes()

@@ -9,23 +9,32 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chargeflow.llm import exact_dedup, language_id, mixing, ngram_jaccard, sentence_pieces
-from chargeflow.llm.tables import shared_dir
+from chargeflow.llm.tables import WORD, shared_dir
 
 #: A document whose best language scores less is rejected, as is one without letters.
 LEAST_LANGUAGE_SCORE = 0.3
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has, in whatever case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID (7), learned from the labelled rows of ``docs``: documents
     without a language go, null and empty texts among them, and all where no row
     is labelled, as there is no language then."""
     model = language_id.train(docs, F.lit(True))
-    found = language_id.identify(docs, model)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    pred, score = unused(docs, "lang_pred"), unused(docs, "lang_score")
+    found = language_id.identify(docs, model, pred=pred, score=score)
+    return found.filter((F.col(pred) != "und") & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +55,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources (10): each document as many times as the mix takes it, not
     at all where that is 0. Texts without words have no part in it and stay once."""
-    # Exact dedup has left each pair of id and text once, so that this key joins rows one to one.
+    # Exact dedup has left each pair of id and text once. Their key is a hash: of rows that
+    # share one, the n-th by source and size meets the n-th of the mix, so that none is joined twice.
     # Rows are held as one column, so that no name of theirs clashes.
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("_key"), F.struct("*").alias("_row"))
     sized = keyed.select("_key", F.col("_row.text").alias("text"), F.col("_row.source").alias("source"))
-    copies = mixing.mix(sized, id_col="_key").filter("copies > 0").select(F.col("doc_id").alias("_key"), "copies")
-    taken = keyed.join(copies, "_key")
+    same = Window.partitionBy("_key")
+    words = F.regexp_count(F.coalesce("_row.text", F.lit("")), F.lit(WORD))
+    keyed = keyed.withColumn("_nth", F.row_number().over(same.orderBy("_row.source", words)))
+    copies = mixing.mix(sized, id_col="_key").select(F.col("doc_id").alias("_key"), "copies", "source", "size")
+    copies = copies.withColumn("_nth", F.row_number().over(same.orderBy("source", "size"))).filter("copies > 0").select("_key", "_nth", "copies")
+    taken = keyed.join(copies, ["_key", "_nth"])
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("_row.*")
 
 

@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 
 SPACE = "▁"
 
+
+@dataclass(frozen=True)
+class Decoder:
+    """What decoding needs of a vocabulary: the bytes of each piece."""
+
+    raw: list[bytes]
+    prefix: bool
+
+    def decode(self, ids: np.ndarray) -> str:
+        raw = self.raw
+        out = b"".join([raw[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        return out[1:] if self.prefix and out[:1] == " " else out
+
+
 class Pieces:
     """Pieces of a SentencePiece model of the BPE kind, whose scores are ranks of
     merges, and the encoding of that model: the pair of neighbours of the best rank
@@ -21,10 +37,11 @@ class Pieces:
         chars = sorted({c for p in self.id for c in p})
         self.char = np.zeros(0x110000, np.int32)
         self.char[[ord(c) for c in chars]] = 1 + np.arange(len(chars))
-        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
         for p in self.id:
             at = self.char[[ord(c) for c in p]]
-            self.joined[at[:-1], at[1:]] = True
+            joined[at[:-1], at[1:]] = True
+        self.joined = np.packbits(joined, axis=1)  # a bit a pair
 
     @classmethod
     def load(cls, model_file: str) -> Pieces:
@@ -48,7 +65,8 @@ class Pieces:
     def cuts(self, text: str) -> np.ndarray:
         """Ascending places 0 < c < len(text) that no piece spans."""
         at = self.char[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-        return np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1
+        left, right = at[:-1], at[1:]
+        return np.flatnonzero(~(self.joined[left, right >> 3] >> (7 - (right & 7))) & 1) + 1
 
     def parts(self, text: str, size: int) -> list[str]:
         """A prepared text cut at the first place after each ``size`` characters that
@@ -71,10 +89,12 @@ class Pieces:
         """The ids of a whole text."""
         return self.merged(self.prepared(text))
 
+    @property
+    def decoder(self) -> Decoder:
+        return Decoder(self.raw, self.prefix)
+
     def decode(self, ids: np.ndarray) -> str:
-        raw = self.raw
-        out = b"".join([raw[i] for i in ids.tolist()]).decode("utf-8", "replace")
-        return out[1:] if self.prefix and out[:1] == " " else out
+        return self.decoder.decode(ids)
 
     def score_sum(self, ids: np.ndarray) -> float:
         """Pieces of blanks, whose rank is none, count as nothing."""

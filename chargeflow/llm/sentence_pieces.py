@@ -32,9 +32,12 @@ def _lists(parts: list[bytes]) -> pa.ListArray:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Slices of batches; what Arrow no longer uses goes back to the system after each batch."""
     for b in batches:
         for at in range(0, len(b), rows):
             yield b.slice(at, rows)
+        del b
+        pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -93,7 +96,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id"
 def decode(encoded: DataFrame, model_file: str = MODEL_FILE, ids_col: str = "ids") -> DataFrame:
     """Adds ``decoded`` to a table with a column of ids, which keeps its columns
     (that one is replaced). Null ids decode to null, no ids to the empty text."""
-    held = encoded.sparkSession.sparkContext.broadcast(Pieces.load(model_file))
+    held = encoded.sparkSession.sparkContext.broadcast(Pieces.load(model_file).decoder)
     encoded = encoded.drop("decoded")
     column = encoded.columns.index(ids_col)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import label_clip
 from ..settings import LABEL
+from ..storage import written
 
 
 def label_and_bounds(rows: DataFrame) -> DataFrame:
@@ -68,7 +69,8 @@ def group_split(rows: DataFrame, group: str = "session_key", test: float = 0.2,
     """Adds ``split``: whole groups go to test (a fifth), val (a tenth of the rest)
     or train; rows without a group to train. Which ones goes by a hash, so
     reruns agree, and no group is in two splits."""
-    groups = rows.filter(F.col(group).isNotNull()).select(group).distinct().withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), group)))
+    # A row a group, written: its hashes are counted and ranked.
+    groups = written(rows.filter(F.col(group).isNotNull()).select(group).distinct().withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), group))))
     named = _ranked(groups, "_h").select(group, _shares(test, val, True).alias("split"))
     return rows.join(named, group, "left").withColumn("split", F.coalesce("split", F.lit("train")))
 

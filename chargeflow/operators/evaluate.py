@@ -36,16 +36,17 @@ def regression_metrics(rows: DataFrame, by: list[str] | None = None, label: str
     over labels of a minute and more. ``p90`` and the median come from counts of
     equal values (see ``quantiles``), so that no group is sorted in one buffer."""
     by = by or []
-    known = written(_known(rows, label, prediction).select(*by, label, prediction))  # read three times
+    known = written(_known(rows, label, prediction).select(*by, label, prediction))  # read twice
     out = known.groupBy(*by).agg(*metric_columns(label, prediction))
     error = F.abs(F.col(label) - F.col(prediction))
-    for name, value, share in (("p90", error, 0.9), ("median_prediction", F.col(prediction), 0.5)):
-        one = quantiles(known, value, [share], by).select(*[F.col(k).alias(f"_{k}") for k in by], F.col("quantiles")[0].alias(name))
-        on = F.lit(True)
-        for k in by:
-            on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        out = out.join(one, on, "left").select(*out.columns, name)
-    return out.select(*by, "rmse", "mae", "mape", "p90", "median_prediction", "n")
+    both = F.array(*[F.struct(F.lit(n).alias("k"), v.cast("double").alias("v")) for n, v in (("p90", error), ("median", F.col(prediction)))])
+    long = known.select(*by, F.explode(both).alias("_x")).select(*by, F.col("_x.k").alias("_kind"), F.col("_x.v").alias("_value"))
+    found = quantiles(long, F.col("_value"), [0.5, 0.9], [*by, "_kind"]).groupBy(*[F.col(k).alias(f"_{k}") for k in by])
+    found = found.agg(F.max(F.when(F.col("_kind") == "p90", F.col("quantiles")[1])).alias("p90"), F.max(F.when(F.col("_kind") == "median", F.col("quantiles")[0])).alias("median_prediction"))
+    on = F.lit(True)
+    for k in by:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return out.join(found, on, "left").select(*by, "rmse", "mae", "mape", "p90", "median_prediction", "n")
 
 
 def metrics_by_soc_band(rows: DataFrame, label: str = "rct_minutes", prediction: str = "prediction") -> DataFrame:
@@ -178,15 +179,13 @@ def step_distribution(rct: DataFrame, keys: list[str]) -> DataFrame:
 
 def described(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Number, mean, deviation, extremes and quartiles of columns, a row each."""
-    parts, rows = [], written(rows.select(*columns))
-    for c in columns:
-        found = rows.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).cast("double").alias("lowest"), F.max(c).cast("double").alias("highest"))
-        q = quantiles(rows, F.col(c), [0.25, 0.5, 0.75]).select(*[F.col("quantiles")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
-        parts.append(found.join(F.broadcast(q), F.lit(True), "left").select(F.lit(c).alias("column"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    rows = written(rows.select(*columns))
+    each = lambda c: F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).cast("double").alias("lowest"), F.max(c).cast("double").alias("highest"))
+    sums = rows.agg(*[each(c).alias(f"s{i}") for i, c in enumerate(columns)])
+    sums = sums.select(F.explode(F.array(*[f"s{i}" for i in range(len(columns))])).alias("x")).select("x.*")
+    long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select(F.col("x.k").alias("_k"), F.col("x.v").alias("_value"))
+    q = quantiles(long, F.col("_value"), [0.25, 0.5, 0.75], ["_k"]).select("_k", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
+    return sums.join(F.broadcast(q), F.col("column") == F.col("_k"), "left").drop("_k")
 
 
 def quality_report(rct: DataFrame, keys: list[str]) -> DataFrame:

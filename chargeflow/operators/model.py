@@ -4,31 +4,54 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import guarded, soc_weight
+from ..functions.columns import guarded, soc_weight, to_double
+from ..functions.quantiles import quantiles
 from ..settings import FEATURES, LABEL
-from .evaluate import regression_metrics
-
-
-def impute_standardize(features: Sequence[str] = FEATURES, scale: bool = True) -> list:
-    """Stages: medians of the training rows for what is unknown, one vector, and
-    (for linear models) mean 0 and deviation 1."""
-    filled = [f"{f}_filled" for f in features]
-    stages = [Imputer(strategy="median", inputCols=list(features), outputCols=filled), VectorAssembler(inputCols=filled, outputCol="raw" if scale else "features", handleInvalid="keep")]
-    return [*stages, StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)] if scale else stages
+from ..storage import owned
+
+
+def impute_standardize(train: DataFrame, features: Sequence[str] = FEATURES, scale: bool = True) -> PipelineModel:
+    """Stages fitted on the training rows: their medians for what is unknown, and (for
+    linear models) mean 0 and deviation 1 of the filled columns; one vector,
+    ``features``. Medians are exact and the deviation is the population's; a column
+    that does not vary is only shifted, one without values is 0 throughout.
+
+    Medians come from counts of equal values of all columns at once (see
+    ``quantiles``), sums from one aggregation.
+    """
+    known = train.select(*[to_double(F.col(f)).alias(f) for f in features])
+    with owned(known) as (known,):
+        long = known.select(F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("v")) for f in features])).alias("x")).select("x.f", "x.v")
+        medians = {r.f: r.quantiles[0] for r in quantiles(long, F.col("v"), [0.5], ["f"]).collect()}
+        middle = {f: float(medians.get(f) or 0.0) for f in features}
+        # About the median, so that sums of squares lose nothing to a large mean.
+        away = {f: F.coalesce(F.col(f), F.lit(middle[f])) - middle[f] for f in features}
+        sums = known.agg(F.count(F.lit(1)).alias("n"), *[F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("dev")).alias(f"s{i}") for i, x in enumerate(away.values())]).first()
+    parts = []
+    for i, f in enumerate(features):
+        shift, dev = (middle[f] + (sums[f"s{i}"]["mean"] or 0.0), sums[f"s{i}"]["dev"] or 1.0) if scale else (0.0, 1.0)
+        filled = f"coalesce(nullif(try_cast(`{f}` AS DOUBLE), double('NaN')), {middle[f]!r}D)"
+        parts.append(f"({filled} - {shift!r}D) / {dev!r}D AS `{f}_filled`" if scale else f"{filled} AS `{f}_filled`")
+    fill = SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
+    return PipelineModel(stages=[fill, VectorAssembler(inputCols=[f"{f}_filled" for f in features], outputCol="features")])
 
 
 def ridge_baseline(train: DataFrame, features: Sequence[str] = FEATURES, alpha: float = 1.0) -> PipelineModel:
     """Least squares with the penalty ``alpha`` on the sum of squares."""
-    n = max(1, train.count())
-    fit = LinearRegression(featuresCol="features", labelCol=LABEL, elasticNetParam=0.0, regParam=alpha / n, standardization=False)
-    return Pipeline(stages=[*impute_standardize(features), fit]).fit(train)
+    found = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("dev")).first()
+    prep = impute_standardize(train, features)
+    # Spark means squares over the rows, and divides the penalty by the label's deviation.
+    penalty = alpha / max(1, found["n"]) * (found["dev"] or 1.0)
+    fit = LinearRegression(featuresCol="features", labelCol=LABEL, elasticNetParam=0.0, regParam=penalty, standardization=False)
+    return PipelineModel(stages=[*prep.stages, fit.fit(prep.transform(train))])
 
 
 def predict_batch(rows: DataFrame, model: PipelineModel | None, fallback: PipelineModel | None = None) -> DataFrame:
@@ -54,32 +77,54 @@ def drawn(rng: random.Random) -> dict:
     return draw | {"featureSubsetStrategy": str(draw["featureSubsetStrategy"])}
 
 
-def gbt_search(rows: DataFrame, features: Sequence[str] = FEATURES, trials: int = 48, rounds: int = 100, seed: int = 42) -> tuple[PipelineModel | None, list[dict]]:
+def rungs_of(trials: int, rounds: int, rungs: int) -> list[tuple[int, int]]:
+    """(trials, rounds) of each rung of successive halving: half the trials go on to
+    twice the rounds, the last rung has all ``rounds``."""
+    out = [(max(1, -(-trials // 2**i)), max(1, rounds // 2 ** (rungs - 1 - i))) for i in range(rungs)]
+    return [(n, rounds if i == rungs - 1 else r) for i, (n, r) in enumerate(out)]
+
+
+def gbt_search(rows: DataFrame, features: Sequence[str] = FEATURES, trials: int = 48, rounds: int = 100, seed: int = 42, rungs: int = 3, at_once: int = 4) -> tuple[PipelineModel | None, list[dict]]:
     """The best of ``trials`` boosted-tree models by error on the val rows, and all
-    trials. ``rows`` have ``split``; training stops early on val; rows of low
-    charge weigh more. The assembled rows are read from memory by every trial.
-    No model (None) without trials or train rows; without val rows nothing tells
-    trials apart, and the first is it."""
+    trials with the last ``rung`` that each reached. ``rows`` have ``split``; training
+    stops early on val, whose rows weigh 1; training rows of low charge weigh more.
+
+    All trials are fitted with few rounds, the better half with twice as many, and so
+    on (``rungs_of``); ``at_once`` fits run beside each other over one written table of
+    assembled rows. Each fit has its own seed and draw, so that the outcome doesn't
+    depend on their order. No model (None) without trials or train rows; without val
+    rows nothing tells trials apart, and the first is it."""
     features = guarded(features)
     train = rows.filter("split = 'train'")
     if trials < 1 or not train.take(1):
         return None, []
-    prep = Pipeline(stages=impute_standardize(features, scale=False)).fit(train)
-    used = rows.filter("split in ('train', 'val')").withColumns({"is_val": F.col("split") == "val", "weight": soc_weight(F.col("soc"))})
-    used = prep.transform(used).select("features", LABEL, "is_val", "weight").persist()
-    stops = {"validationIndicatorCol": "is_val"} if used.filter("is_val").take(1) else {}
-    rng, best, tried = random.Random(seed), None, []
-    try:
-        for _ in range(trials):
-            draw = drawn(rng)
-            fit = GBTRegressor(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=rounds, seed=seed, **draw, **stops).fit(used)
-            rmse = regression_metrics(fit.transform(used.filter("is_val")), None, LABEL).first()["rmse"]
-            tried.append(draw | {"rmse": rmse, "trees": fit.getNumTrees})
-            if best is None or (rmse is not None and rmse < best[0]):
-                best = float("inf") if rmse is None else rmse, fit
-    finally:
-        used.unpersist()
-    return PipelineModel(stages=[*prep.stages, best[1]]), tried
+    prep = impute_standardize(train, features, scale=False)
+    val = F.col("split") == "val"
+    used = rows.filter("split in ('train', 'val')").withColumns({"is_val": val, "weight": F.when(val, 1.0).otherwise(soc_weight(F.col("soc")))})
+    rng = random.Random(seed)
+    draws = [drawn(rng) for _ in range(trials)]
+    tried = [d | {"rung": -1, "rmse": None, "trees": 0} for d in draws]
+    fits: dict[int, object] = {}
+    with owned(prep.transform(used).select("features", LABEL, "is_val", "weight")) as (table,):
+        stops = {"validationIndicatorCol": "is_val"} if table.filter("is_val").take(1) else {}
+
+        def fitted(i: int, budget: int):
+            fit = GBTRegressor(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=budget, seed=seed + i, **draws[i], **stops).fit(table)
+            error = F.col("prediction") - F.col(LABEL)
+            rmse = fit.transform(table.filter("is_val")).agg(F.sqrt(F.avg(error * error)).alias("rmse")).first()["rmse"]
+            return fit, rmse
+
+        alive = list(range(trials))
+        for rung, (n, budget) in enumerate(rungs_of(trials, rounds, rungs)):
+            alive = alive[:n]
+            with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+                results = list(pool.map(lambda i, b=budget: fitted(i, b), alive))
+            fits = {}
+            for i, (fit, rmse) in zip(alive, results):
+                fits[i] = fit
+                tried[i] |= {"rung": rung, "rmse": rmse, "trees": fit.getNumTrees}
+            alive.sort(key=lambda i: (float("inf") if tried[i]["rmse"] is None else tried[i]["rmse"], i))
+    return PipelineModel(stages=[*prep.stages, fits[alive[0]]]), tried
 
 
 def top_importances(model: PipelineModel, rows: DataFrame, features: Sequence[str] = FEATURES, k: int = 50) -> DataFrame:

@@ -22,11 +22,11 @@ def sign_of(median: Column, correlation: Column) -> Column:
     return F.when(median.isNull(), by_correlation).when(median > 0, -1).otherwise(1)
 
 
-def together(over: WindowSpec | None = None, change: str = "dsoc") -> Column:
+def together(over: WindowSpec | None = None, change: str = "dsoc", amps: str = "current") -> Column:
     """Above 0 if current and change of charge rise together (unknown ones as 0); null
     where either is the same in all rows. Of the correlation only the sign is asked,
     and a division by a spread of 0 would end the job."""
-    x, y = F.coalesce("current", F.lit(0.0)), F.coalesce(change, F.lit(0.0))
+    x, y = F.coalesce(amps, F.lit(0.0)), F.coalesce(change, F.lit(0.0))
     on = (lambda c: c) if over is None else (lambda c: c.over(over))
     varies = (on(F.max(x)) > on(F.min(x))) & (on(F.max(y)) > on(F.min(y)))
     return F.when(varies, on(F.covar_pop(x, y)))

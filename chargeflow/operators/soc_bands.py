@@ -6,12 +6,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import bucket_label, bucket_middle, current_bucket, seconds_between
+from ..functions.columns import bucket_label, bucket_middle, current_bucket, range_labels, seconds_between
 from ..settings import CURRENT_EDGES, SESSION
 from ..storage import written
 from .sessions import sign_of, together
 
-SERIES = {"pack": "current", "master": "current_master", "slave": "current_slave"}
+#: The current of each series; that of the pack is the one that ``charging_rows`` chose.
+SERIES = {"pack": "i_eff", "master": "current_master", "slave": "current_slave"}
+#: Where the pack's current comes from: the first of these that the table has.
+SOURCES = ("current", "current_master", "current_slave")
 
 
 def charging_rows(rct: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -22,9 +25,9 @@ def charging_rows(rct: DataFrame, keys: list[str] | None = None) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy("yyyymm", "session_id", "timestamp_local")
     rows = rct.withColumn("_ds", F.col("soc") - F.lag("soc").over(order))
     whole = Window.partitionBy(*keys)
-    rising = F.median(F.when(F.col("_ds") > 0, F.col("current"))).over(whole)
-    rows = rows.withColumn("sign", sign_of(rising, together(whole, "_ds")))
-    have = [c for c in SERIES.values() if c in rct.columns]
+    have = [c for c in SOURCES if c in rct.columns]
+    rising = F.median(F.when(F.col("_ds") > 0, F.col(have[0]))).over(whole)
+    rows = rows.withColumn("sign", sign_of(rising, together(whole, "_ds", have[0])))
     charging = F.lit(False)
     for c in have:
         charging = charging | F.coalesce(F.col("sign") * F.col(c) < 0, F.lit(False))
@@ -61,16 +64,15 @@ def sliding_soc_bands(rows: DataFrame, band: int = 5, min_minutes: float = 0.5)
     """``soc_start``, ``soc_end``, ``t0``, ``t1``, ``minutes_total`` of each band of
     ``band`` percent, one beginning at every percent, that a session of at least
     three rows passes in ``min_minutes`` or more."""
-    at = time_at_soc(rows)
+    whole = Window.partitionBy(*SESSION)
+    at = time_at_soc(rows.filter("soc is not null").withColumn("_rows", F.count(F.lit(1)).over(whole)).filter("_rows >= 3").drop("_rows"))
     # The end of a band is the row ``band`` percent on in the same session: no self-join.
     w = Window.partitionBy(*SESSION).orderBy("soc_at").rangeBetween(band, band)
     out = at.select(*SESSION, F.col("soc_at").alias("soc_start"), (F.col("soc_at") + band).alias("soc_end"), F.col("t_at").alias("t0"), F.max("t_at").over(w).alias("t1"))
-    enough = rows.filter("soc is not null").groupBy(*SESSION).agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 3").select(*SESSION)
-    out = out.join(enough, SESSION, "left_semi").withColumn("minutes_total", F.col("t1") - F.col("t0"))
-    return out.filter(F.col("minutes_total") >= min_minutes)
+    return out.withColumn("minutes_total", F.col("t1") - F.col("t0")).filter(F.col("minutes_total") >= min_minutes)
 
 
-def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES) -> DataFrame:
+def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES, band: int = 5) -> DataFrame:
     """For each band and series (pack, master, slave): ``bucket``, ``confidence``,
     ``mean_abs_current``, ``median_abs_current`` within its time.
 
@@ -79,31 +81,42 @@ def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES) -
     reach to the band's ends. Shares are of the time covered so; the median is
     the first current at which half of it is passed. One sample alone: its own
     value. No time between: plain mean and median, no share. No sample: nulls.
+
+    A sample goes to those bands alone that the charge so far allows (``band`` + 3 of
+    them), and there meets the band's row, which brings the band's times and the
+    first and last sample of each series: one shuffle by session and band.
     """
-    # A session's bands (96 at most) go with each of its samples, which explodes only into those it lies in.
+    keys, of_band = [*SESSION, "series"], [*SESSION, "soc_start"]
     figures = ["soc_start", "soc_end", "t0", "t1", "minutes_total"]
-    of_session = bands.groupBy(*SESSION).agg(F.collect_list(F.struct(*figures)).alias("bands"))
-    series = F.explode(F.array(*[F.struct(F.lit(n).alias("series"), F.col(c).alias("amps")) for n, c in SERIES.items()])).alias("x")
-    keys = [*SESSION, "series"]
-    by_time = lambda *order: Window.partitionBy(*keys).orderBy(F.col("amps").isNull(), *order)
-    # Rows grow by about fifteen times in the stage that reads them: adaptive execution, which joins
-    # partitions by the bytes read, would leave it too few tasks, a number given here does not.
+    series = {n: (F.abs(F.col(c)) if c in rows.columns else F.lit(None)).cast("double").alias(n) for n, c in SERIES.items()}
+    known = rows.filter("soc is not null")
+    so_far = F.max("soc").over(Window.partitionBy(*SESSION).orderBy("tmin").rangeBetween(Window.unboundedPreceding, 0))
+    samples = known.select(*SESSION, "tmin", *series.values(), F.floor(so_far).cast("int").alias("_top"))
+    starts = F.sequence(F.col("_top") - band - 1, F.col("_top") + 1)
+    # Of samples at one time the one of least current is first, and last.
+    end = lambda n, back: F.min(F.when(F.col(n).isNotNull(), F.struct((-F.col("tmin") if back else F.col("tmin")).alias("t"), F.col(n).alias("a"))))
+    ends = samples.groupBy(*SESSION).agg(*[F.struct(end(n, False).alias("first"), end(n, True).alias("last")).alias(f"_{n}") for n in SERIES])
+    mark = F.struct(*figures[1:], *[f"_{n}" for n in SERIES]).alias("_band")
+    marks = bands.join(ends, SESSION, "left").select(*of_band, mark)
+    # Rows grow where they are read: adaptive execution, which joins partitions by the bytes read,
+    # would leave it too few tasks, a number given here does not.
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known_soc = rows.filter("soc is not null").select(*SESSION, "tmin", *SERIES.values()).repartition(parts, *SESSION)
-    long = known_soc.join(of_session, SESSION).select(*SESSION, "bands", "tmin", series).select(*SESSION, "bands", "tmin", "x.series", F.abs("x.amps").alias("amps"))
-    long = long.withColumns({"_first": F.row_number().over(by_time("tmin", "amps")) == 1, "_last": F.row_number().over(by_time(F.desc("tmin"), "amps")) == 1})
-    point = lambda b, at, amps: F.struct(b.alias("band"), at.alias("tmin"), amps.alias("amps"))
-    known = F.col("amps").isNotNull()
-    found = lambda when, at, amps: F.transform(F.filter("bands", when), lambda b: point(b, at(b), amps))
-    none = F.lit(None).cast("double")
-    points = F.concat(
-        found(lambda b: known & (F.col("tmin") >= b["t0"]) & (F.col("tmin") <= b["t1"]), lambda b: F.col("tmin"), F.col("amps")),
-        found(lambda b: known & F.col("_first") & (b["t0"] < F.col("tmin")), lambda b: b["t0"], F.col("amps")),
-        found(lambda b: known & F.col("_last") & (b["t1"] > F.col("tmin")), lambda b: b["t1"], F.col("amps")),
-        # So that each band has a row, whatever is known of its currents.
-        found(lambda b: F.col("_first"), lambda b: none, none),
-    )
-    points = long.select(*keys, F.explode(points).alias("p")).select(*keys, *[F.col(f"p.band.{f}").alias(f) for f in figures], "p.tmin", "p.amps")
+    mixed = samples.select(*SESSION, F.explode(starts).alias("soc_start"), "tmin", *SERIES).unionByName(marks, allowMissingColumns=True).repartition(parts, *of_band)
+    mixed = mixed.withColumns({"_mark": F.col("_band").isNotNull(), "_band": F.first("_band", True).over(Window.partitionBy(*of_band))}).filter("_band is not null")
+    t0, t1, none = F.col("_band.t0"), F.col("_band.t1"), F.lit(None).cast("double")
+    point = lambda n, at, amps: F.struct(F.lit(n).alias("series"), at.alias("tmin"), amps.alias("amps"))
+    found = []
+    for n in SERIES:
+        first, last = F.col(f"_band._{n}.first"), F.col(f"_band._{n}.last")
+        found += [
+            F.when(~F.col("_mark") & F.col(n).isNotNull() & F.col("tmin").between(t0, t1), point(n, F.col("tmin"), F.col(n))),
+            F.when(F.col("_mark") & (t0 < first["t"]), point(n, t0, first["a"])),
+            F.when(F.col("_mark") & (t1 > -last["t"]), point(n, t1, last["a"])),
+            # So that each band has a row, whatever is known of its currents.
+            F.when(F.col("_mark"), point(n, none, none)),
+        ]
+    points = mixed.select(*of_band, *[F.col(f"_band.{f}").alias(f) for f in figures[1:]], F.explode(F.array_compact(F.array(*found))).alias("p"))
+    points = points.select(*SESSION, *figures, "p.series", "p.tmin", "p.amps")
     slice_ = [*keys, *figures]
     of_slice = [*keys, "soc_start"]
     w = Window.partitionBy(*of_slice).orderBy("tmin", "amps")
@@ -141,18 +154,27 @@ def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES) -
 def interval_samples(rct: DataFrame, band: int = 5, min_minutes: float = 0.5) -> DataFrame:
     """Bands and their current figures of all sessions of a labelled table. The
     charging rows are written once: bands and figures read that table."""
-    rows = written(minutes_in_session(charging_rows(rct)).select(*SESSION, "timestamp_local", "soc", "tmin", *SERIES.values()))
-    return band_current_stats(sliding_soc_bands(rows, band, min_minutes), rows)
+    charging = minutes_in_session(charging_rows(rct))
+    rows = written(charging.select(*SESSION, "timestamp_local", "soc", "tmin", *[c for c in SERIES.values() if c in charging.columns]))
+    return band_current_stats(sliding_soc_bands(rows, band, min_minutes), rows, band=band)
+
+
+def interval_pivots(stats: DataFrame) -> DataFrame:
+    """Mean minutes by series, band and prevailing range, one row each."""
+    return stats.groupBy("series", "soc_start", "bucket").agg(F.avg("minutes_total").alias("mean_minutes"), F.count(F.lit(1)).alias("n"))
 
 
 def interval_pivot(stats: DataFrame, series: str = "pack") -> DataFrame:
-    """Mean minutes by band and prevailing range, one row each."""
-    return stats.filter(F.col("series") == series).groupBy("soc_start", "bucket").agg(F.avg("minutes_total").alias("mean_minutes"), F.count(F.lit(1)).alias("n"))
+    """Those of one series."""
+    return interval_pivots(stats.filter(F.col("series") == series)).drop("series")
 
 
 def pivot_wide(pivot: DataFrame, edges=CURRENT_EDGES) -> DataFrame:
-    """The same as one row a band, with a column for each range (for output)."""
-    return pivot.groupBy("soc_start").pivot("bucket", list(range(len(edges) - 1))).agg(F.first("mean_minutes"))
+    """The same as one row a band (of each series, where there are several), with a
+    column for each range, whether it occurs or not (for output)."""
+    by = [c for c in ("series", "soc_start") if c in pivot.columns]
+    cells = [F.max(F.when(F.col("bucket") == i, F.col("mean_minutes"))).alias(name) for i, name in enumerate(range_labels(edges))]
+    return pivot.groupBy(*by).agg(*cells)
 
 
 def estimator_params(pivot: DataFrame, band: int = 5) -> tuple[DataFrame, DataFrame]:

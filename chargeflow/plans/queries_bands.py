@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import range_labels
 from ..operators import soc_bands as B
 from ..operators import soc_bins as M
 from ..settings import SESSION
@@ -79,6 +80,14 @@ QUERIES: dict[str, tuple[Query, str]] = {
         sql("rct", f"SELECT {S}, soc_start, series, bucket, {r('confidence', 'mean_abs_current', 'median_abs_current')} FROM stats", B.SQL, B.SQL_STATS),
     ),
     "a6_interval_pivot": (lambda s, d: rounded(pivot(s, d)), sql("rct", f"SELECT soc_start, bucket, {r('mean_minutes')}, n FROM pivot_pack", B.SQL, B.SQL_STATS)),
+    "a6_interval_pivots": (
+        lambda s, d: rounded(B.interval_pivots(stats(s, d))),
+        sql("rct", f"SELECT series, soc_start, bucket, round(avg(minutes_total) + 1e-9, 6) + 0.0 AS mean_minutes, count(*) AS n FROM stats GROUP BY series, soc_start, bucket", B.SQL, B.SQL_STATS),
+    ),
+    "a6_pivot_wide": (
+        lambda s, d: rounded(B.pivot_wide(B.interval_pivots(stats(s, d)))),
+        sql("rct", "SELECT series, soc_start, " + ", ".join(f'round(avg(minutes_total) FILTER (bucket = {i}) + 1e-9, 6) + 0.0 AS "{x}"' for i, x in enumerate(range_labels())) + " FROM stats GROUP BY series, soc_start", B.SQL, B.SQL_STATS),
+    ),
     "a7_estimator_params": (
         lambda s, d: rounded(_crossed(B.estimator_params(written(pivot(s, d))))),
         sql("rct", f"SELECT soc_start, {r('band_minutes', 'minutes_per_percent')} FROM band_means CROSS JOIN per_percent", B.SQL, B.SQL_STATS),

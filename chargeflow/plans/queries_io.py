@@ -13,10 +13,10 @@ from ..operators import dataset, evaluate, features, model
 from ..operators import postprocess as P
 from ..settings import FEATURES, KEYS, LABEL, SESSION
 from ..sources import unit_files as U
-from ..storage import shared_folder, written
+from ..storage import move, names, shared_folder, written
 from ..streaming import live
 from .queries_core import ALIGNED, K, Query, S, aligned, r, rct, rounded, samples, sessioned, sql
-from .queries_predictions import keyed, ready
+from .queries_predictions import GROUP_SIZES, KEYED, _split_sql, keyed, ready
 
 MONTH = "2024-01-01 00:00:00"
 
@@ -80,15 +80,45 @@ def _training(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _m1(spark, d):
-    from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     rows = _training(spark, d)
-    fit = Pipeline(stages=model.impute_standardize()).fit(rows.filter("split = 'train'"))
+    fit = model.impute_standardize(rows.filter("split = 'train'"))
     out = fit.transform(rows).withColumn("_x", vector_to_array("features"))
     return rounded(out.select("session_key", "timestamp_local", *[F.col("_x")[i].alias(f) for i, f in enumerate(FEATURES)]))
 
 
+def _s1(spark, d):
+    """The master's samples as files of eight folders, under other headers, read again."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    rows = samples(spark, d).filter("unit = 'master'")
+    time = F.date_format("ts_local", "yyyy-MM-dd HH:mm:ss").alias("Time")
+    named = rows.select((F.col("vehicle_id") % 8).alias("vehicle_id"), time, F.col("soc").alias("avg_soc"), F.col("voltage").alias("Voltage"), F.col("current").alias("pack_current"), F.col("speed").alias("veh_speed"), F.col("seq").alias("odo_km"))
+    named.repartition("vehicle_id").write.partitionBy("vehicle_id").option("header", True).csv(folder)
+    for place in names(spark, folder):
+        for i, file in enumerate(sorted(f for f in names(spark, f"{folder}/{place}") if f.endswith(".csv")) if place.startswith("vehicle_id=") else []):
+            move(spark, f"{folder}/{place}/{file}", f"{folder}/{place}/{i}_2024-01.csv")
+    back = U.read_month_csv(spark, [folder], "master")
+    return rounded(back.select("vehicle_id", "yyyymm", "ts_raw", "km", "soc", "voltage", "current", "speed"))
+
+
+def _s4(spark, d):
+    path = f"{shared_folder(spark)}/any-{uuid.uuid4().hex}"
+    rows = samples(spark, d).select("seq", "soc", "current")
+    rows.write.option("header", True).csv(f"{path}.csv")
+    rows.write.parquet(path)
+    parts = [U.read_any(spark, p).withColumn("kind", F.lit(k)) for p, k in ((f"{path}.csv", "csv"), (path, "parquet"))]
+    return rounded(parts[0].unionByName(parts[1]).withColumn("seq", F.col("seq").cast("long")))
+
+
+def _s7(spark, d):
+    path = f"{shared_folder(spark)}/set-{uuid.uuid4().hex}"
+    U.write_training_set(_training(spark, d), path)
+    kinds = ", ".join(f"`{c}` double" for c in [*FEATURES, LABEL])
+    back = spark.read.schema(f"{kinds}, split string").option("header", True).csv(f"{path}/data")
+    return rounded(back.select("split", LABEL, *FEATURES))
+
+
 def _by_split(rows: DataFrame, name: str) -> DataFrame:
     return evaluate.regression_metrics(rows, ["split"]).withColumn("model", F.lit(name))
 
@@ -99,7 +129,7 @@ def _m2(spark, d):
 
 
 def _tree(rows: DataFrame):
-    return model.gbt_search(rows, trials=2, rounds=8)
+    return model.gbt_search(rows, trials=2, rounds=8, rungs=1)
 
 
 def _m3(spark, d):
@@ -194,7 +224,20 @@ QUERIES: dict[str, tuple[Query, str]] = {
         lambda s, d: rounded(evaluate.described(P.session_soc_ranges(ready(s, d)), ["soc_min", "soc_max", "soc_span"])),
         sql("rct", f'SELECT "column", n, {r(*_FIGURES)} FROM (' + " UNION ALL ".join(DESCRIBED.format(c=c, t="ranges") for c in ("soc_min", "soc_max", "soc_span")) + ")", P.SQL),
     ),
-    "m1_impute_standardize": (_m1, ""),
+    "s1_read_month_csv": (
+        _s1,
+        sql("telemetry", f"SELECT vehicle_id % 8 AS vehicle_id, yyyymm, strftime(ts_local, '%Y-%m-%d %H:%M:%S') AS ts_raw, seq::DOUBLE AS km, {r('soc', 'voltage', 'current', 'speed')} FROM telemetry WHERE unit = 'master'"),
+    ),
+    "s4_read_any": (_s4, sql("telemetry", f"SELECT seq, kind, {r('soc', 'current')} FROM telemetry CROSS JOIN (SELECT unnest(['csv', 'parquet']) AS kind)")),
+    "s7_write_training_set": (_s7, sql("rct", f"SELECT split, {r(LABEL, *FEATURES)} FROM keyed JOIN splits USING (session_key)", KEYED, _split_sql("session_key", "session_key", GROUP_SIZES))),
+    "m1_impute_standardize": (
+        _m1,
+        sql("rct", f"SELECT session_key, timestamp_local, {', '.join(f'round((f.{c} - s.{c}_mean) / CASE WHEN s.{c}_dev > 0 THEN s.{c}_dev ELSE 1 END + 1e-9, 6) + 0.0 AS {c}' for c in FEATURES)} FROM filled f CROSS JOIN stat s",
+            KEYED, _split_sql("session_key", "session_key", GROUP_SIZES), "named AS (SELECT * FROM keyed JOIN splits USING (session_key))",
+            "med AS (SELECT " + ", ".join(f"median({c}) AS {c}" for c in FEATURES) + " FROM named WHERE split = 'train')",
+            "filled AS (SELECT session_key, timestamp_local, split, " + ", ".join(f"coalesce(n.{c}, m.{c}, 0) AS {c}" for c in FEATURES) + " FROM named n CROSS JOIN med m)",
+            "stat AS (SELECT " + ", ".join(f"avg({c}) AS {c}_mean, stddev_pop({c}) AS {c}_dev" for c in FEATURES) + " FROM filled WHERE split = 'train')"),
+    ),
     "m2_ridge_baseline": (_m2, ""),
     "m3_gbt_search": (_m3, ""),
     "m4_predict_batch": (_m4, ""),

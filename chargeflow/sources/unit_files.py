@@ -13,6 +13,7 @@ from ..functions.timeparse import parse_local
 from ..settings import DEFAULTS, FEATURES, LABEL, MASTER_FIELDS, SLAVE_FIELDS
 from ..storage import delete, exists
 from ..storage import names as held_files
+from .headers import headers
 
 # Accepted headers of each field, in order of preference.
 TIME_HEADERS = ["timestamp", "time", "date", "datetime", "dt"]
@@ -47,19 +48,14 @@ def filter_months(rows: DataFrame, months: Sequence[str] | None) -> DataFrame:
 def _dialects(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], str, str, list[str]]]:
     """(files, separator, encoding, names) of each kind of header. One row a file
     comes to the driver: its first line that is neither blank nor a comment."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"), "value")
-    lines = lines.withColumn("i", F.monotonically_increasing_id())
-    bare = F.trim(F.regexp_replace("value", "﻿", ""))
-    used = lines.withColumn("bare", bare).filter((bare != "") & ~bare.startswith("#"))
-    heads = used.groupBy("file").agg(F.min_by("bare", F.struct("b", "i")).alias("head"), F.max(F.instr("value", "�") > 0).alias("latin"), F.count(F.lit(1)).alias("n"))
-    kinds: dict[tuple[str, bool], list[str]] = {}
-    for r in heads.filter("n > 1").collect():
-        kinds.setdefault((r.head, r.latin), []).append(r.file)
+    kinds: dict[tuple[str, str], list[str]] = {}
+    for r in headers(spark, paths).filter("rows").collect():
+        kinds.setdefault((r.head, r.encoding), []).append(r.file)
     out = []
-    for (head, latin), files in sorted(kinds.items()):
+    for (head, encoding), files in sorted(kinds.items()):
         sep = max(SEPARATORS, key=head.count)
         names = [n.strip().strip('"') for n in head.split(sep)]
-        out.append((files, sep, "ISO-8859-1" if latin else "UTF-8", names))
+        out.append((sorted(files), sep, encoding, names))
     return out
 
 
@@ -90,6 +86,8 @@ def read_month_csv(spark: SparkSession, paths: list[str], unit: str, vehicle_id:
     for files, sep, encoding, names in _dialects(spark, paths):
         schema = ", ".join(f"`c{i}` string" for i in range(len(names))) + ", _over string"
         reader = spark.read.schema(schema).options(sep=sep, encoding=encoding, comment="#", mode="PERMISSIVE", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+        if encoding.startswith("UTF-16"):  # whose line ends Spark doesn't guess
+            reader = reader.options(lineSep="\n")
         raw = reader.csv(files).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
         raw = raw.withColumn("_line", F.monotonically_increasing_id())
         # Rows with more cells than the header are bad; shorter ones are filled with nulls.
@@ -200,8 +198,10 @@ def parse_scoring_requests(bodies: DataFrame, body: str = "body", features: Sequ
     single = F.array(F.from_json(text, f"struct<{fields}>"))
     known = F.size(F.array_intersect(F.json_object_keys(text), F.array(*[F.lit(f) for f in features]))) > 0
     lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != "")
-    cells = F.transform(lines, lambda x: F.split(x, ","))
-    from_csv = F.transform(cells, lambda c: F.struct(*[F.get(c, F.lit(i)).try_cast("double").alias(f) for i, f in enumerate(features)]))
+    # Cells may be quoted, and hold commas then; what is no number is unknown.
+    texts = ", ".join(f"c{i} string" for i in range(len(features)))
+    cells = F.transform(lines, lambda x: F.from_csv(x, F.lit(texts), {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}))
+    from_csv = F.transform(cells, lambda c: F.struct(*[to_double(c[f"c{i}"]).alias(f) for i, f in enumerate(features)]))
     found = F.when(text.startswith("["), listed).when(text.startswith("{"), F.coalesce(packed["instances"], packed["inputs"], F.when(known, single))).otherwise(from_csv)
     rows = bodies.select("*", F.posexplode(found).alias("instance", "_x"))
     return rows.select(*[c for c in rows.columns if c != "_x"], "_x.*")

@@ -39,6 +39,12 @@ def names(spark: SparkSession, folder: str) -> set[str]:
     return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
 
 
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Renames a file of any file system that Spark knows."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    make(old).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(make(old), make(new))
+
+
 @contextmanager
 def owned(*frames: DataFrame) -> Iterator[list[DataFrame]]:
     """``frames`` written once and read back, for as long as the block lasts: what is

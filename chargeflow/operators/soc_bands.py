@@ -72,6 +72,22 @@ def sliding_soc_bands(rows: DataFrame, band: int = 5, min_minutes: float = 0.5)
     return out.withColumn("minutes_total", F.col("t1") - F.col("t0")).filter(F.col("minutes_total") >= min_minutes)
 
 
+def _with_level(rows: DataFrame) -> DataFrame:
+    """Adds ``_level``, the whole percents below the charge at each row's time on the line
+    of ``time_at_soc``: between the first times of two values of the running maximum.
+    A band is open at that time only if it begins at or below, and ends at or above it."""
+    w = Window.partitionBy(*SESSION).orderBy("tmin")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_s", F.max("soc").over(upto))
+    before = F.lag("_s").over(w)
+    rows = rows.withColumn("_knot", F.when(before.isNull() | (F.col("_s") - before > 1e-9), F.struct(F.col("tmin").alias("t"), F.col("_s").alias("s"))))
+    later = Window.partitionBy(*SESSION).orderBy(F.desc("tmin")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({"_k0": F.last("_knot", True).over(upto), "_k1": F.last("_knot", True).over(later)})
+    a, b = F.col("_k0"), F.col("_k1")
+    along = a["s"] + (b["s"] - a["s"]) * F.coalesce(F.try_divide(F.col("tmin") - a["t"], b["t"] - a["t"]), F.lit(1.0))
+    return rows.withColumn("_level", F.floor(F.coalesce(along, a["s"])).cast("int")).drop("_s", "_knot", "_k0", "_k1", "soc")
+
+
 def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES, band: int = 5) -> DataFrame:
     """For each band and series (pack, master, slave): ``bucket``, ``confidence``,
     ``mean_abs_current``, ``median_abs_current`` within its time.
@@ -82,17 +98,16 @@ def band_current_stats(bands: DataFrame, rows: DataFrame, edges=CURRENT_EDGES, b
     the first current at which half of it is passed. One sample alone: its own
     value. No time between: plain mean and median, no share. No sample: nulls.
 
-    A sample goes to those bands alone that the charge so far allows (``band`` + 3 of
-    them), and there meets the band's row, which brings the band's times and the
+    A sample goes to those bands alone that begin below and end above the charge at
+    its time (``band`` + 3, for the edges), and there meets the band's row, which brings the band's times and the
     first and last sample of each series: one shuffle by session and band.
     """
     keys, of_band = [*SESSION, "series"], [*SESSION, "soc_start"]
     figures = ["soc_start", "soc_end", "t0", "t1", "minutes_total"]
     series = {n: (F.abs(F.col(c)) if c in rows.columns else F.lit(None)).cast("double").alias(n) for n, c in SERIES.items()}
     known = rows.filter("soc is not null")
-    so_far = F.max("soc").over(Window.partitionBy(*SESSION).orderBy("tmin").rangeBetween(Window.unboundedPreceding, 0))
-    samples = known.select(*SESSION, "tmin", *series.values(), F.floor(so_far).cast("int").alias("_top"))
-    starts = F.sequence(F.col("_top") - band - 1, F.col("_top") + 1)
+    samples = _with_level(known.select(*SESSION, "tmin", "soc", *series.values()))
+    starts = F.sequence(F.col("_level") - band - 1, F.col("_level") + 1)
     # Of samples at one time the one of least current is first, and last.
     end = lambda n, back: F.min(F.when(F.col(n).isNotNull(), F.struct((-F.col("tmin") if back else F.col("tmin")).alias("t"), F.col(n).alias("a"))))
     ends = samples.groupBy(*SESSION).agg(*[F.struct(end(n, False).alias("first"), end(n, True).alias("last")).alias(f"_{n}") for n in SERIES])

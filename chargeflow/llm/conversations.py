@@ -497,3 +497,52 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.join(repaired_digests(fixed.rows).withColumnRenamed("conv_id", "_d"), same("_d"), "left")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+def _oracle() -> str:
+    """The same in DuckDB: from a conversation's last row on, the least text of (cost,
+    audit, repaired lines) for each state, by one fold over its rows."""
+
+    def before(state: str, cost: str, label: str, line: str) -> str:
+        at = f"strpos({state}, chr(1))"
+        return f"printf('%08d', CAST({state}[1:8] AS INT) + {cost}) || '{label}' || {state}[9:{at} - 1] || chr(1) || {line} || {state}[{at} + 1:]"
+
+    def named(name: str, value: str, body: str) -> str:
+        return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+    def inserted(edited: str) -> str:
+        user, assistant = "'user:' || chr(10)", "'assistant:' || chr(10)"
+        asked = f"least(e[3], {before('e[4]', '2', 'I', assistant)})"
+        first = [f"least(e[{s}], {before('u', '2', 'I', user)})" for s in (1, 2)]
+        return named("e", edited, named("u", asked, f"[{first[0]}, {first[1]}, u, least(e[4], {before('e[3]', '2', 'I', user)})]"))
+
+    states = []
+    # States count from 1 here: nothing yet, system, user, assistant. Each with what is due and what an initial leads to.
+    for s, due, name, kept in ((1, 3, "user", {"s": 2, "u": 3}), (2, 3, "user", {"u": 3}), (3, 4, "assistant", {"a": 4}), (4, 3, "user", {"u": 3})):
+        gone = before(f"v[{s}]", "3", "D", "''")
+        other = before(f"v[{due}]", "2 + CAST(r[4] AS INT)", "R", f"'{name}:' || r[2] || chr(10)")
+        same = " ".join(f"WHEN '{x}' THEN {before(f'v[{to}]', 'CAST(r[4] AS INT)', 'K', 'r[1] || chr(58) || r[2] || chr(10)')}" for x, to in kept.items())
+        states.append(f"CASE WHEN r[3] = '1' THEN {gone} ELSE least({gone}, {other}, CASE r[1][1] {same} ELSE {gone} END) END")
+    end = inserted("['00000000' || chr(1), '50000000' || chr(1), '50000000' || chr(1), '00000000' || chr(1)]")
+    fold = f"list_reduce(rows, lambda v, r: {inserted('[' + ', '.join(states) + ']')}, {end})"
+    return rf"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+crc AS (SELECT k, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))), 4294967295), 4294967295) % 20 AS fault FROM (SELECT DISTINCT k FROM said)),
+hurt AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM said JOIN crc USING (k)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown FROM hurt),
+facts AS (SELECT *, shown = '' AS blank, shown <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM placed),
+marked AS (SELECT *, NOT blank AND NOT again AND right(shown, 1) NOT IN ('.', '!', '?') AS cut FROM facts),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, list([role, text, CASE WHEN blank OR again THEN '1' ELSE '0' END, CASE WHEN cut THEN '1' ELSE '0' END] ORDER BY i DESC) AS rows FROM marked GROUP BY conv_id),
+best AS (SELECT *, {fold}[1] AS b FROM sums),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(CAST(b[1:8] AS BIGINT), 0) AS cost, coalesce(b[9:strpos(b, chr(1)) - 1], '') AS audit, sha256(coalesce(regexp_replace(b[strpos(b, chr(1)) + 1:], '
+$', ''), '')) AS repaired_sha256
+FROM every e LEFT JOIN best ON e.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+
+ORACLE = _oracle()

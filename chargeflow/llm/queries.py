@@ -24,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.ORACLE, "op11_fill_in_middle": fill_in_middle.ORACLE}
+    return {"op3_exact_dedup": exact_dedup.ORACLE, "op11_fill_in_middle": fill_in_middle.ORACLE, "op12_conversation_repair": conversations.ORACLE}

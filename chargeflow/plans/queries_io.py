@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from ..operators import dataset, evaluate, features, model
 from ..operators import postprocess as P
 from ..settings import FEATURES, KEYS, LABEL, SESSION
 from ..sources import unit_files as U
-from ..storage import move, names, shared_folder, written
+from ..storage import move, names, scratch, written
 from ..streaming import live
 from .queries_core import ALIGNED, K, Query, S, aligned, r, rct, rounded, samples, sessioned, sql
 from .queries_predictions import GROUP_SIZES, KEYED, _split_sql, keyed, ready
@@ -90,7 +88,7 @@ def _m1(spark, d):
 
 def _s1(spark, d):
     """The master's samples as files of eight folders, under other headers, read again."""
-    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    folder = scratch(spark, "csv")
     rows = samples(spark, d).filter("unit = 'master'")
     time = F.date_format("ts_local", "yyyy-MM-dd HH:mm:ss").alias("Time")
     named = rows.select((F.col("vehicle_id") % 8).alias("vehicle_id"), time, F.col("soc").alias("avg_soc"), F.col("voltage").alias("Voltage"), F.col("current").alias("pack_current"), F.col("speed").alias("veh_speed"), F.col("seq").alias("odo_km"))
@@ -103,16 +101,16 @@ def _s1(spark, d):
 
 
 def _s4(spark, d):
-    path = f"{shared_folder(spark)}/any-{uuid.uuid4().hex}"
+    path = scratch(spark, "any")
     rows = samples(spark, d).select("seq", "soc", "current")
-    rows.write.option("header", True).csv(f"{path}.csv")
-    rows.write.parquet(path)
-    parts = [U.read_any(spark, p).withColumn("kind", F.lit(k)) for p, k in ((f"{path}.csv", "csv"), (path, "parquet"))]
+    rows.write.option("header", True).csv(f"{path}/rows.csv")
+    rows.write.parquet(f"{path}/rows")
+    parts = [U.read_any(spark, p).withColumn("kind", F.lit(k)) for p, k in ((f"{path}/rows.csv", "csv"), (f"{path}/rows", "parquet"))]
     return rounded(parts[0].unionByName(parts[1]).withColumn("seq", F.col("seq").cast("long")))
 
 
 def _s7(spark, d):
-    path = f"{shared_folder(spark)}/set-{uuid.uuid4().hex}"
+    path = scratch(spark, "set")
     U.write_training_set(_training(spark, d), path)
     kinds = ", ".join(f"`{c}` double" for c in [*FEATURES, LABEL])
     back = spark.read.schema(f"{kinds}, split string").option("header", True).csv(f"{path}/data")
@@ -133,8 +131,8 @@ def _tree(rows: DataFrame):
 
 
 def _m3(spark, d):
-    tried = _tree(_training(spark, d))[1]
-    return spark.createDataFrame([(i, float(t["rmse"]), int(t["trees"])) for i, t in enumerate(tried)], "trial int, rmse double, trees int")
+    tried = model.gbt_search(_training(spark, d), trials=6, rounds=8, rungs=2)[1]
+    return spark.createDataFrame([(i, t["rung"], float(t["rmse"]), int(t["trees"])) for i, t in enumerate(tried)], "trial int, rung int, rmse double, trees int")
 
 
 def _m4(spark, d):
@@ -174,7 +172,7 @@ def streamed(rows: DataFrame, transform, state_store: str | None = None) -> Data
             return streamed(rows, transform)
         finally:
             spark.conf.set(key, used)
-    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    folder = scratch(spark, "stream")
     rows.write.parquet(f"{folder}/in")
     out = transform(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
     writer = out.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state")

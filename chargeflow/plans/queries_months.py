@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from ..functions import sketches as S
 from ..operators import borders, evaluate
 from ..settings import DEFAULTS, KEYS
 from ..sources import unit_files as U
-from ..storage import shared_folder, written
+from ..storage import scratch, written
 from ..streaming import live, live_align
 from .queries_core import ALIGNED, K, RCT, Query, curated, r, rct, rounded, samples, sql
 from .queries_io import DESCRIBED, streamed
@@ -34,7 +32,7 @@ MOVED = f"moved AS (SELECT * REPLACE ('2024-' || lpad(CAST(1 + date_diff('minute
 
 def appended(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(minutes, pieces) of months that were appended one by one."""
-    path = f"{shared_folder(spark)}/months-{uuid.uuid4().hex}"
+    path = scratch(spark, "months")
     rows = written(moved(spark, d))
     after = None
     for (month,) in sorted(map(tuple, rows.select("yyyymm").distinct().collect())):
@@ -64,7 +62,7 @@ def _w5(spark, d):
 
 def _s5(spark, d):
     """Months written at once, then one of them again with other values, then read together."""
-    path = f"{shared_folder(spark)}/monthly-{uuid.uuid4().hex}"
+    path = scratch(spark, "monthly")
     rows = moved(spark, d).select(*KEYS, "minute", "soc", "current")
     U.write_monthly(rows, path)
     again = rows.filter("yyyymm = '2024-02'").withColumn("soc", F.col("soc") + 1)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 KEYS = ["vehicle_id", "yyyymm"]
 SESSION = [*KEYS, "session_id"]
 
+# The measured fields of either unit, and how minutes are made of them.
 MASTER_FIELDS = ["soc", "voltage", "current", "speed", "cell_temp", "bms_temp", "pack_delta", "charge_limit", "discharge_limit", "km"]
 SLAVE_FIELDS = ["soc", "voltage", "current"]
 LAST_FIELDS = ["soc", "soc_master", "soc_slave", "km"]
@@ -30,7 +31,7 @@ CURRENT_EDGES = [0, 1, 5, 10, 20, 40, 80, 200, 1000]
 
 @dataclass(frozen=True)
 class Settings:
-    """Thresholds of the charging job."""
+    """Thresholds of the charging job. The defaults."""
 
     time_zone: str = "Australia/Melbourne"
     tolerance_s: float = 15.0

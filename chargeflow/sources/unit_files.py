@@ -15,7 +15,8 @@ from ..storage import delete, exists
 from ..storage import names as held_files
 from .headers import headers
 
-# Accepted headers of each field, in order of preference.
+# Accepted headers of each field, in order of preference; other names for a
+# field and the candidates among columns, which are two tables elsewhere, in one.
 TIME_HEADERS = ["timestamp", "time", "date", "datetime", "dt"]
 HEADERS = {
     "soc": ["soc", "avg_soc", "battery_soc", "M_battery_soc"],

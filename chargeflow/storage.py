@@ -21,6 +21,18 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def temporary(spark: SparkSession, path: str) -> str:
+    """``path``, which goes when the application ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the shared folder, for files of this application alone."""
+    return temporary(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Deletes a file or folder of any file system that Spark knows; false if there is none."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -60,7 +72,9 @@ def owned(*frames: DataFrame) -> Iterator[list[DataFrame]]:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` written once and read back, for plans that use it several times."""
+    """``df`` written once and read back, for plans that use it several times; its files
+    go when the application ends. Where the end of their use is known, see ``owned``."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    temporary(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_label, current_bucket
 from ..settings import SESSION
+from ..storage import written
 
 
 def _w():
@@ -84,6 +85,8 @@ def chosen_sessions(rows: DataFrame, window: DataFrame) -> DataFrame:
 def minutes_per_band(rows: DataFrame, low: int = 20, high: int = 80, step: int = 5) -> DataFrame:
     """Per session and band: predicted minutes at its begin less those at its end
     (not below 0), median |A| of the units in it, and their ranges."""
+    # Read twice: what leads to these rows is worked out once.
+    rows = written(rows.select(*SESSION, "elapsed_min", "soc", "monotone", "current_master", "current_slave"))
     at = rct_at_soc(rows, step)
     w = Window.partitionBy(*SESSION).orderBy("soc_at")
     bands = at.withColumn("_next", F.lead("rct_at").over(w)).filter((F.col("soc_at") >= low) & (F.col("soc_at") < high))

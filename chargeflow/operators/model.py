@@ -105,7 +105,11 @@ def gbt_search(rows: DataFrame, features: Sequence[str] = FEATURES, trials: int
     draws = [drawn(rng) for _ in range(trials)]
     tried = [d | {"rung": -1, "rmse": None, "trees": 0} for d in draws]
     fits: dict[int, object] = {}
-    with owned(prep.transform(used).select("features", LABEL, "is_val", "weight")) as (table,):
+    key = F.xxhash64(*features, LABEL, "is_val").alias("_key")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    with owned(prep.transform(used).select("features", LABEL, "is_val", "weight", key)) as (table,):
+        # Samples of trees go by the place of a row: rows are dealt and ordered by their values, so that reruns agree.
+        table = table.repartition(parts, "_key").sortWithinPartitions("_key").drop("_key")
         stops = {"validationIndicatorCol": "is_val"} if table.filter("is_val").take(1) else {}
 
         def fitted(i: int, budget: int):

@@ -110,8 +110,8 @@ def test_rungs_halve():
 
 def test_search_beats_ridge_and_repeats(spark):
     rows = table(spark)
-    best, tried = model.gbt_search(rows, FEATURES, trials=4, rounds=12, rungs=2, at_once=4)
-    again = model.gbt_search(rows, FEATURES, trials=4, rounds=12, rungs=2, at_once=1)[1]
+    best, tried = model.gbt_search(rows, FEATURES, trials=4, rounds=8, rungs=2, at_once=4)
+    again = model.gbt_search(rows, FEATURES, trials=4, rounds=8, rungs=2, at_once=1)[1]
     assert tried == again and sorted(t["rung"] for t in tried) == [0, 0, 1, 1]
     rmse = lambda m: model.predict_batch(rows.filter("split = 'val'"), m).agg(F.sqrt(F.avg((F.col("prediction") - F.col(LABEL)) ** 2))).first()[0]
     tree, line = rmse(best), rmse(model.ridge_baseline(rows.filter("split = 'train'"), FEATURES))

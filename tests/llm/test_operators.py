@@ -8,6 +8,7 @@ import subprocess
 import sys
 import time
 from collections import Counter, defaultdict
+from functools import reduce
 from types import SimpleNamespace
 
 import numpy as np
@@ -16,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chargeflow.llm import chat, components, exact_dedup, fingerprints, language_id, lm_scoring, mixing, ngram_jaccard, quality, sentence_pieces, signature_tree, substring_dedup, tables, words
-from chargeflow.llm.pieces import Pieces
+from chargeflow.llm.pieces import Pieces, best_path, product
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string"
@@ -344,6 +345,48 @@ def test_sentence_pieces_are_those_of_the_model(spark, small):
             assert r.ids == model.encode(texts[r.doc_id])
 
 
+def plain_merges(pieces, text):
+    """Merges one by one: of all neighbours the pair of the best rank, the leftmost of equal ones."""
+    parts = list(pieces.prepared(text))
+    while pairs := [(-pieces.score[pieces.id[x + y]], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in pieces.id]:
+        i = min(pairs)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
+def test_sentence_pieces_transfer_matrices(small):
+    pieces = Pieces.load(sentence_pieces.MODEL_FILE)
+    rng = random.Random(6)
+    texts = [r.text for r in small.filter("n_chars > 300").orderBy("doc_id").limit(20).collect()]
+    texts = [rng.choice(texts)[:300] if k % 3 == 0 else "".join(rng.choices(rng.choice(["ab", "= ", " ", "the =", "日本é😀ab ", "-*/="]), k=rng.randint(1, 120))) for k in range(120)]
+    for k, text in enumerate(texts):
+        t, chunk = pieces.prepared(text), (1, 3, 16, 40, 97)[k % 5]
+        matrices, parts = [], []
+        for p in range(0, len(t), chunk):
+            s, q = max(0, p - pieces.longest), min(p + chunk, len(t))
+            parts.append((s, t[s : p + chunk + pieces.longest]))
+            matrices.append([tuple(x + s for x in step) for step in pieces.transfer(parts[-1][1], p - s, q - s)])
+            # One encoding for each begin and end.
+            assert len({(a, d) for a, _, _, d in matrices[-1]}) == len(matrices[-1])
+        ids = [i for (s, part), step in zip(parts, best_path(matrices, (0, 0))) for i in pieces.between(part, tuple(x - s for x in step)).tolist()]
+        assert ids == pieces.encode(text).tolist()
+        assert [pieces.raw[i] for i in ids if pieces.width[i] > 0 and i in pieces.id.values()] == [p.replace("▁", " ").encode() for p in plain_merges(pieces, text) if p in pieces.id]
+        # The product doesn't depend on where it is begun; of the whole text one place is finite.
+        m = len(matrices) // 2
+        halves = [x for x in (matrices[:m], matrices[m:]) if x]
+        whole = reduce(product, matrices)
+        assert whole == reduce(product, [reduce(product, x) for x in halves]) and len(whole) == 1
+
+
+def test_sentence_pieces_of_a_run_without_a_cut(spark):
+    # No place of these texts is free of pieces that span it; one is in very many chunks.
+    docs = spark.createDataFrame([(1, "thequickbrownfox" * 3000), (2, "=" * 3000), (3, "ab" * 1000), (3, "ab" * 1000)], "doc_id long, text string")
+    pieces = Pieces.load(sentence_pieces.MODEL_FILE)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = sentence_pieces.encode(docs, chunk=300).collect()
+    assert len(got) == 4 and all(r.ids == pieces.encode(texts[r.doc_id]).tolist() for r in got)
+
+
 def test_sentence_pieces_of_odd_rows(odd, empty):
     got = sentence_pieces.decode(sentence_pieces.encode(odd)).collect()
     assert Counter((r.doc_id, r.decoded) for r in got) == Counter((d, t or "") for d, t, *_ in ODD)

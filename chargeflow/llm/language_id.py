@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import crc_remainder, read
+from .tables import crc_remainder, read, runs
 
 #: Symbols of the folded text: 0 is what is no letter, then the most frequent
 #: letters of the training texts, then SHARED classes for all other letters.
@@ -204,7 +204,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", pred: str =
     column = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in runs(batches):
             names, scores = held.value.predict(b.column(column).to_pylist())
             yield pa.record_batch([*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, pred, score])
 

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .signature_tree import bitmap, folded, linked_pairs, possible_links
-from .tables import materialize, read
+from .tables import materialize, read, runs
 from .words import shingle_sets
 
 #: Shingles of the sets that one traversal holds: 32 MB.
 BLOCK = 4_000_000
 #: Counters of shingles' frequencies, and the rows in which a task hands them on.
 COUNTERS, SLICES = 1 << 22, 16
+#: Shingles that are counted together.
+HELD = 1 << 19
 
 _A = np.uint64(0x9FB21C651E98DF25)
 
@@ -39,8 +41,13 @@ def _sized(k: int):
     names = ["doc_id", "n", "d1", "d2", "slice", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, many = np.zeros(COUNTERS, np.int64), [], 0
-        for b in batches:
+        total, held, many = np.zeros(COUNTERS, np.uint8), [], 0
+
+        def add() -> None:
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            total[at] = np.minimum(total[at] + n, 255)
+
+        for b in runs(batches):
             n, d1, d2 = [], [], []
             for s in shingle_sets(b.column(1), k):
                 x, y = _digest(s)
@@ -49,15 +56,15 @@ def _sized(k: int):
                 d2.append(y)
                 held.append(_counter(s).astype(np.int32))
                 many += len(s)
-                if many > COUNTERS:
-                    total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                if many > HELD:
+                    add()
                     held, many = [], 0
             digests = [pa.array(d, pa.int64()) for d in (n, d1, d2)]
             yield pa.record_batch([b.column(0), *digests, pa.nulls(len(b), pa.int32()), pa.nulls(len(b), pa.binary())], names=names)
         if held:
-            total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+            add()
         if total.any():
-            parts = np.minimum(total, 255).astype(np.uint8).reshape(SLICES, -1)
+            parts = total.reshape(SLICES, -1)
             none = pa.nulls(SLICES, pa.int64())
             yield pa.record_batch([none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=names)
 
@@ -102,7 +109,7 @@ def _keyed(k: int, num: int, den: int, held):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, seen = held.value, set()
-        for b in batches:
+        for b in runs(batches):
             rows: list[tuple] = []
             ends, flat = [0], [np.empty(0, np.uint64)]
             if len(seen) > 1_000_000:
@@ -125,7 +132,7 @@ def _keyed(k: int, num: int, den: int, held):
 def _traversals(batches: Iterator[pa.RecordBatch], rows_of) -> Iterator[tuple[dict, pa.RecordBatch | None]]:
     """The rows of each traversal, which follow each other, by set: the first row of each."""
     key, held = None, {}
-    for b in batches:
+    for b in runs(batches):
         for task, d, row in rows_of(b):
             if task != key:
                 if len(held) > 1:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .pieces import Pieces, Step, best_path, product
-from .tables import materialize, read
+from .tables import materialize, read, runs
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk. Texts with as many are encoded in several tasks.
@@ -37,15 +37,6 @@ def _lists(parts: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Slices of batches; what Arrow no longer uses goes back to the system after each batch."""
-    for b in batches:
-        for at in range(0, len(b), rows):
-            yield b.slice(at, rows)
-        del b
-        pa.default_memory_pool().release_unused()
-
-
 def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     kinds = {"string": pa.string(), "long": pa.int64(), "array<long>": pa.list_(pa.int64())}
     fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
@@ -65,17 +56,17 @@ def _steps(matrices: DataFrame) -> DataFrame:
     blocks = matrices.groupBy("row", F.floor(F.col("chunk") / BLOCK).alias("block")).agg(held)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 16):
+        for b in runs(batches, 16):
             yield _batch(_MATRIX, [(row, k, [x for s in reduce(product, [_four(m["matrix"]) for m in ms]) for x in s]) for row, k, ms in zip(*(c.to_pylist() for c in b.columns))])
 
     def over_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 16):
+        for b in runs(batches, 16):
             for row, ms in zip(*(c.to_pylist() for c in b.columns)):
                 path = best_path([_four(m["matrix"]) for m in ms], (0, 0))
                 yield _batch(_STEP.replace("chunk", "block"), [(row, m["chunk"], list(s)) for m, s in zip(ms, path)])
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 16):
+        for b in runs(batches, 16):
             for row, ms, step in zip(*(c.to_pylist() for c in b.columns)):
                 path = best_path([_four(m["matrix"]) for m in ms], tuple(step[:2]), tuple(step[2:]))
                 yield _batch(_STEP, [(row, m["chunk"], list(s)) for m, s in zip(ms, path)])
@@ -100,7 +91,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches):
+        for b in runs(batches):
             texts = b.column(1).to_pylist()
             ids = _lists([held.value.encode(t).tobytes() for t in texts])
             yield pa.record_batch([b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([_sha(t) for t in texts], pa.string()), ids], names=["doc_id", "n_chars", "text_sha256", "ids"])
@@ -111,7 +102,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count, halo = TaskContext.get().partitionId(), 0, held.value.longest
-        for b in _runs(batches, 8):
+        for b in runs(batches, 8):
             for doc, text in zip(*(c.to_pylist() for c in b.columns)):
                 n, sha, t = len(text), _sha(text), held.value.prepared(text)
                 starts = [max(0, p - halo) for p in range(0, len(t), chunk)]
@@ -121,7 +112,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id"
                 count += 1
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 64):
+        for b in runs(batches, 64):
             rows = zip(*(b.column(c).to_pylist() for c in ("row", "chunk", "start", "p", "q", "text")))
             yield _batch(_MATRIX, [(row, k, [s + x for step in held.value.transfer(t, p, q) for x in step]) for row, k, s, p, q, t in rows])
 
@@ -131,7 +122,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id"
     steps = _steps(materialize(spread.select("row", "chunk", "start", "p", "q", "text").mapInArrow(transfer, _MATRIX)))
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 64):
+        for b in runs(batches, 64):
             ids = [held.value.between(t, tuple(x - s for x in step)).tobytes() for s, t, step in zip(*(c.to_pylist() for c in b.columns[5:]))]
             yield pa.record_batch([*b.columns[:5], pa.array(ids, pa.binary())], names=[*b.schema.names[:5], "ids"])
 
@@ -140,7 +131,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id"
     ordered = traced.groupBy("row", "doc_id", "n_chars", "text_sha256").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
 
     def glue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches, 16):
+        for b in runs(batches, 16):
             ids = _lists([b"".join(p["ids"] for p in parts) for parts in b.column(3).to_pylist()])
             yield pa.record_batch([*b.columns[:3], ids], names=["doc_id", "n_chars", "text_sha256", "ids"])
 
@@ -155,7 +146,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE, ids_col: str = "ids
     column = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches):
+        for b in runs(batches):
             out = [None if not x.is_valid else held.value.decode(x.values.to_numpy(zero_copy_only=False)) for x in b.column(column)]
             yield pa.record_batch([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, "decoded"])
 

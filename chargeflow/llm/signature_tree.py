@@ -10,7 +10,7 @@ import numpy as np
 FAN = 8
 LEAST_BITS = 2048
 #: Node pairs, and pairs of sets, that are looked at together.
-NODE_PAIRS, SET_PAIRS = 1 << 14, 1 << 13
+NODE_PAIRS, SET_PAIRS = 1 << 12, 1 << 13
 #: Sets of a side, and tokens, of one product of membership matrices.
 ROWS, COLUMNS = 256, 1 << 14
 

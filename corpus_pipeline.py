@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chargeflow.llm import exact_dedup, language_id, mixing, ngram_jaccard, sentence_pieces
-from chargeflow.llm.tables import WORD, shared_dir
+from chargeflow.llm.tables import WORD, materialize, shared_dir
 
 #: A document whose best language scores less is rejected, as is one without letters.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -72,7 +72,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece encoding (2), decoded again as proof; the ids stay. Each row,
     repeated ones too, gives one; null and empty texts have no ids."""
-    encoded = sentence_pieces.decode(sentence_pieces.encode(docs))
+    # Written between, so that no task has two Python workers at a time, each with its tables.
+    encoded = sentence_pieces.decode(materialize(sentence_pieces.encode(docs)))
     same = F.sha2("decoded", 256) == F.col("text_sha256")
     return encoded.select("doc_id", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

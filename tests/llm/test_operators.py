@@ -7,6 +7,8 @@ import re
 import subprocess
 import sys
 import time
+import tracemalloc
+import zlib
 from collections import Counter, defaultdict
 from functools import reduce
 from types import SimpleNamespace
@@ -247,6 +249,22 @@ print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
     assert int(done.stdout) < 1000
 
 
+def test_shingles_of_many_texts_take_little_memory():
+    rng = random.Random(4)
+    texts = [" ".join(str(rng.randint(0, 10**6)) for _ in range(500)) for _ in range(4000)]
+    batch = pa.record_batch([pa.array(range(4000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    want = Counter(x for s in words.shingle_sets(batch.column(1), 5) for x in ngram_jaccard._counter(s).tolist())
+    levels = SimpleNamespace(value=np.zeros(ngram_jaccard.COUNTERS, np.uint8))
+    for run in (ngram_jaccard._sized(5), ngram_jaccard._keyed(5, 4, 5, levels)):
+        tracemalloc.start()
+        for b in run(iter([batch])):
+            if "counts" in b.schema.names and b.column(5).null_count == 0:
+                counts = np.concatenate([np.frombuffer(zlib.decompress(c), np.uint8) for c in b.column(5).to_pylist()])
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+        tracemalloc.stop()
+    assert all(counts[k] == min(n, 255) for k, n in want.items()) and np.count_nonzero(counts) == len(want)
+
+
 def plain_targets(sizes, weights=(5, 2, 1), share=1.0):
     names = sorted((s for s in sizes if s is not None), key=str) + [s for s in sizes if s is None]
     w = {s: weights[i % 3] for i, s in enumerate(names)}

@@ -80,3 +80,9 @@ def test_stages_on_odd_rows_and_empty_tables(spark, name, stage):
     else:
         assert got.columns == odd.columns and {x for r in got.select(*odd.columns[4:]).collect() for x in r} <= {"x"}
     assert stage(spark, odd.limit(0), SMALL).count() == 0
+
+
+def test_pieces_are_decoded_in_one_python_worker_a_task(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    plan = corpus_pipeline.pieces(spark, docs, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

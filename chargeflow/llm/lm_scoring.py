@@ -17,8 +17,9 @@ LEAST, HASHED = 20, 64
 #: Widths of the network; rounds of training, windows of a batch.
 EMBEDDING, HIDDEN = 10, 48
 ROUNDS, BATCH = 30, 4096
-#: Characters that are handled at a time.
+#: Characters that are handled at a time; windows whose scores a task remembers.
 SLICE = 1 << 20
+KNOWN = 1 << 20
 #: A window is packed in two numbers: the tokens two and one to the left; those one
 #: and two to the right and the token itself. A token has 21 bits, as many as a code point.
 LOW = (1 << 21) - 1
@@ -67,21 +68,63 @@ def unpacked(p: np.ndarray) -> np.ndarray:
     return np.stack([p[0] >> 21, p[0] & LOW, p[1] >> 42, p[1] >> 21 & LOW, p[1] & LOW], 1)
 
 
-def distinct(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order that puts equal windows side by side, where each begins in it, and
-    the place among the distinct ones of each in that order."""
+def keys(p: np.ndarray) -> np.ndarray | None:
+    """A number for each window, which tells it from all others; None if there are
+    too many tokens for that."""
     w = [p[0] >> 21, p[0] & LOW, p[1] >> 42, p[1] >> 21 & LOW, p[1] & LOW]
     if max((int(x.max()) for x in w if len(x)), default=0) < 1 << 12:
-        key = w[0] << 48 | w[1] << 36 | w[2] << 24 | w[3] << 12 | w[4]
-        order = np.argsort(key)
-    else:
-        order = np.lexsort(p)
+        return w[0] << 48 | w[1] << 36 | w[2] << 24 | w[3] << 12 | w[4]
+    return None
+
+
+def distinct(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that puts equal windows side by side (that of ``keys``, if there are
+    such), where each begins in it, and the place among the distinct ones of each in
+    that order."""
+    key = keys(p)
+    order = np.argsort(key) if key is not None else np.lexsort(p)
     new = np.ones(p.shape[1], bool)
     q = p[:, order]
     new[1:] = (q[0, 1:] != q[0, :-1]) | (q[1, 1:] != q[1, :-1])
     return order, np.flatnonzero(new), np.cumsum(new) - 1
 
 
+def counted(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct windows and how often each is there."""
+    key = keys(p)
+    if key is None:
+        order, starts, _ = distinct(p)
+        return p[:, order[starts]], np.diff(np.append(starts, len(order)))
+    key.sort()
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+    k, token = key[starts], (1 << 12) - 1
+    windows_ = np.stack([k >> 48 << 21 | k >> 36 & token, (k >> 24 & token) << 42 | (k >> 12 & token) << 21 | k & token])
+    return windows_, np.diff(np.append(starts, len(key)))
+
+
+class Known:
+    """What a task has worked out for each window, by ``keys``; begun anew when
+    that is too much."""
+
+    def __init__(self):
+        self.keys, self.values = np.empty(0, np.int64), np.empty(0, np.float32)
+
+    def of(self, key: np.ndarray, work) -> np.ndarray:
+        """The values of sorted distinct keys; ``work`` gives those at some places."""
+        at = np.searchsorted(self.keys, key)
+        met = at < len(self.keys)
+        met[met] = self.keys[at[met]] == key[met]
+        out = np.empty(len(key), np.float32)
+        out[met] = self.values[at[met]]
+        if len(new := np.flatnonzero(~met)):
+            out[new] = work(new)
+            if len(self.keys) + len(new) > KNOWN:
+                self.keys, self.values = key[new], out[new]
+            else:
+                self.keys, self.values = np.insert(self.keys, at[new], key[new]), np.insert(self.values, at[new], out[new])
+        return out
+
+
 class Network:
     """Embeddings of the four neighbours, one hidden layer, softmax over tokens."""
 
@@ -145,15 +188,19 @@ class Model:
     def __init__(self, letters: list[str], network: Network):
         self.letters, self.flat = letters, network.flat.tobytes()
 
-    def scores(self, texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def scores(self, texts: list[str | None], table: np.ndarray, known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Characters and summed log-probabilities of whole texts; the network sees
-        each distinct window of a slice once."""
+        each distinct window of a slice once, and none that is in ``known``."""
+        known = known or Known()
         n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
         net = Network(np.frombuffer(self.flat))
         for row, end, w, lengths in windows(texts, table):
             order, starts, place = distinct(w)
+            once = w[:, order[starts]]
+            key = keys(once)
+            values = net.of_windows(unpacked(once)) if key is None else known.of(key, lambda at: net.of_windows(unpacked(once[:, at])))
             each = np.empty(len(order))
-            each[order] = net.of_windows(unpacked(w[:, order[starts]]))[place]
+            each[order] = values[place]
             upto = np.concatenate([[0.0], np.cumsum(each)])
             at = np.concatenate([[0], np.cumsum(lengths)])
             n[row:end] += lengths
@@ -204,7 +251,7 @@ def window_counts(docs: DataFrame, letters: list[str], text_col: str = "text") -
         for b in batches:
             for _, _, w, _ in windows(b.column(0).to_pylist(), table):
                 if w.size:
-                    held.append(merged(w, np.ones(w.shape[1], np.int64)))
+                    held.append(counted(w))
                     rows += len(held[-1][1])
                 if rows > 2_000_000:
                     yield from out()
@@ -251,9 +298,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_table(held.value.letters)
+        table, known = token_table(held.value.letters), Known()
         for b in batches:
-            n, total = held.value.scores(b.column(1).to_pylist(), table)
+            n, total = held.value.scores(b.column(1).to_pylist(), table, known)
             yield pa.record_batch([b.column(0), pa.array(n), pa.array(total)], names=["doc_id", "n_tokens", "log_likelihood"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -628,6 +628,28 @@ def test_lm_gradient_passes_over_all_windows(spark):
     assert counts.agg(F.sum("n")).first()[0] == 327
 
 
+@pytest.mark.parametrize("tokens", [9, 5000])
+def test_lm_network_sees_a_window_once_a_task(monkeypatch, tokens):
+    letters = [chr(0x4E00 + i) for i in range(tokens)]
+    rng, table, seen = random.Random(8), lm_scoring.token_table(letters), []
+    texts = ["".join(rng.choices(letters[-9:], k=900)) for _ in range(6)]
+    model = lm_scoring.Model(letters, lm_scoring.Network(tokens=1 + lm_scoring.HASHED + tokens, seed=4))
+    plain = Counter(tuple(w) for _, _, p, _ in lm_scoring.windows(texts, table) for w in lm_scoring.unpacked(p).tolist())
+    for _, _, p, _ in lm_scoring.windows(texts, table):
+        once, n = lm_scoring.counted(p)
+        assert dict(zip(map(tuple, lm_scoring.unpacked(once).tolist()), n.tolist())) == plain
+    want = [model.scores([t], table)[1][0] for t in texts]
+    work = lm_scoring.Network.of_windows
+    monkeypatch.setattr(lm_scoring.Network, "of_windows", lambda self, w: seen.append(len(w)) or work(self, w))
+    for many in (lm_scoring.KNOWN, 100):
+        monkeypatch.setattr(lm_scoring, "KNOWN", many)
+        known, seen[:] = lm_scoring.Known(), []
+        got = np.concatenate([model.scores(texts[i : i + 2], table, known)[1] for i in (0, 2, 4, 0)])
+        assert got == pytest.approx([*want, *want[:2]], rel=1e-6)
+        if tokens == 9 and many > 100:
+            assert sum(seen) == len(plain)
+
+
 def test_lm_likes_prose_better_than_noise(spark, small):
     model = lm_scoring.train(small)
     prose = small.filter("lang = 'en' and n_chars > 500").orderBy("doc_id").first().text

@@ -49,6 +49,8 @@ class Template:
             raise ValueError("a turn needs a mark after its role and one at its end")
         if len(self.escape) != 1:
             raise ValueError("the escape is one character")
+        if any((m.strip() or m)[0] == self.escape for m in (self.start, self.mid, self.end) if m):
+            raise ValueError("a mark begins with the escape, which texts hold")
         names = list(self.names.values())
         if len(set(names)) < len(names) or any(n[:1] in ("?", self.escape) for n in names):
             raise ValueError("roles' names differ, and none begins like an unknown role's")

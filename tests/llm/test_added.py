@@ -354,3 +354,9 @@ def test_templates_of_the_review():
     assert chat.turns_of("".join(s["text"] for s in segments), template, chat._unescaper(template)) == [{"role": "user", "text": ":!"}]
     with pytest.raises(ValueError):
         chat.Template(names={"user": "User: human", "assistant": "A"}).codes()
+
+
+@pytest.mark.parametrize("marks", [{"mid": "a"}, {"end": " a"}, {"start": "a#"}])
+def test_marks_that_begin_with_the_escape_are_refused(marks):
+    with pytest.raises(ValueError):
+        chat.Template(escape="a", **marks).codes()

@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from ..storage import written
 
 
+def between(low: Column, high: Column, part: Column) -> Column:
+    """``part`` of the way from ``low`` to ``high``, one product of the two rounded with
+    the sum (a fused multiply-add, as DuckDB has it): next to values that differ in their
+    last digit alone it decides which of them are above. Equal values give that value."""
+    fused = F.reflect(F.lit("java.lang.Math"), F.lit("fma"), low, 1 - part, high * part).cast("double")
+    return F.when((part == 0) | (low == high), low).when(low.isNotNull() & high.isNotNull(), fused)
+
+
 def quantiles(rows: DataFrame, value: Column, shares: Sequence[float], by: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
     """``by`` and ``quantiles``, an array in the order of ``shares``: linear between
-    the two neighbours, as ``percentile`` gives them. Null values are left out.
+    the two neighbours, as ``percentile`` gives them (see ``between``). Null values are left out.
     ``weight``: how many times each row counts, once without.
 
     Equal values are counted, the counts are dealt to ranges of values and
@@ -36,6 +44,7 @@ def quantiles(rows: DataFrame, value: Column, shares: Sequence[float], by: Seque
     for share in shares:
         exact = (F.col("_n") - 1) * F.lit(float(share))
         low, high = at(F.floor(exact)), at(F.ceil(exact))
-        part = F.max(exact - F.floor(exact))
-        parts.append(F.when(part == 0, low).otherwise(low * (1 - part) + high * part))
-    return ranked.groupBy(*by).agg(F.array(*parts).alias("quantiles"))
+        parts.append(F.struct(low.alias("low"), high.alias("high"), F.max(exact - F.floor(exact)).alias("part")))
+    found = ranked.groupBy(*by).agg(F.array(*parts).alias("_found"))
+    each = [F.col("_found")[i] for i in range(len(shares))]
+    return found.select(*by, F.array(*[between(x["low"], x["high"], x["part"]) for x in each]).alias("quantiles"))

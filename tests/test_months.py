@@ -293,6 +293,13 @@ def test_bundle_of_nothing(spark):
     assert evaluate.metrics_bundle(scored(spark).limit(0)).collect() == []
 
 
+def test_currents_on_an_edge_are_within_it(spark):
+    amps = [1.0] + 12 * [55.37] + [99.0]  # 55.37 * 0.7 + 55.37 * 0.3 is less than 55.37
+    table = spark.createDataFrame([("s", 50.0, a, 10.0, 9.0) for a in amps], "split string, soc double, current double, rct_minutes double, prediction double")
+    found = evaluate.metrics_bundle(table).filter("slice_type = 'current_decile'").collect()
+    assert sorted((r.slice, r.slice_lo, r.slice_hi, r.n) for r in found) == [("1", 1.0, 55.37, 13), ("2", 55.37, 99.0, 1)]
+
+
 def test_edges_of_bands(spark):
     rows = spark.createDataFrame([(float(s), 10.0, float(s)) for s in (0, 20, 25, 75, 80, 81)], "soc double, rct_minutes double, prediction double")
     assert sorted((r.soc_lo, r.n) for r in evaluate.metrics_by_soc_band(rows).collect()) == [(0, 2), (20, 1), (60, 2), (80, 1)]

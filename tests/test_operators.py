@@ -1,7 +1,10 @@
 """The library's core on small frames: ties, nulls, absent units, empty tables."""
 
+import math
+import random
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +116,15 @@ def test_quantiles_are_exact(spark):
     assert quantiles(rows.filter("v > 99"), F.col("v"), [0.5]).first().quantiles == [None]
 
 
+def test_quantiles_between_near_values_are_those_of_sql(spark):
+    rng, shares = random.Random(4), [i / 10 for i in range(11)]
+    values = {k: [rng.choice([55.37, math.nextafter(55.37, 56), 122.79, math.nextafter(122.79, 0)]) for _ in range(rng.randrange(12, 90))] for k in range(200)}
+    rows = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k int, v double")
+    got = {r.k: r.quantiles for r in quantiles(rows, F.col("v"), shares, ["k"]).collect()}
+    con = duckdb.connect()
+    assert got == {k: con.execute("SELECT quantile_cont(v, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) FROM (SELECT unnest(?::DOUBLE[]) AS v)", [vs]).fetchall()[0][0] for k, vs in values.items()}
+
+
 def test_metrics(spark):
     rows = spark.createDataFrame([(10.0, 12.0, "a"), (0.5, 1.5, "a"), (4.0, 1.0, None), (None, 1.0, "a"), (3.0, None, "b")], "rct_minutes double, prediction double, g string")
     whole = evaluate.regression_metrics(rows).first()
